@@ -493,8 +493,6 @@ def _month_end_exposure(m: Model) -> DataFrame:
 
 # --- staging loaders over JSON documents ------------------------------------------------------
 
-_NUMBERS = ("decimal", "double")
-
 
 def _silver_query(table: str):
     def build(m: Model) -> DataFrame:
@@ -534,7 +532,9 @@ FROM (SELECT *, o_orderkey % 50 AS b, """ + feeds._LINE_ID + """ AS __f FROM lin
 )
 def _silver_rejects(m: Model) -> DataFrame:
     raw = feeds.raw_events(m, feeds.FEEDS["orders"])
-    found = silver.rejects([silver.stage(raw, "orders"), silver.stage(raw, "order_lines")])
+    found = silver.distinct_rejects(
+        [silver.rejected(silver.stage(raw, table)) for table in ("orders", "order_lines")]
+    )
     return found.select(F.col("raw_event_key").alias("doc"), "reason")
 
 

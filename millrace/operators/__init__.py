@@ -1,6 +1,6 @@
 from .intervals import Buckets, interval_join, with_validity
 from .pick import first_per_key, latest_value
-from .quality import flags, split_rejects
+from .quality import flags, reject_reason, split_rejects
 from .scd2 import scd2_build
 from .upsert import (
     changed_only,
@@ -18,6 +18,7 @@ __all__ = [
     "insert_if_absent",
     "interval_join",
     "latest_value",
+    "reject_reason",
     "scd2_build",
     "split_rejects",
     "upsert_guarded",

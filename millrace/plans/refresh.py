@@ -12,10 +12,7 @@ from ..sources.store import Store
 from . import aggregates, dims, exports, facts, silver
 from .facts import Horizon
 
-REJECTS, METRICS = "staging_dq_rejects", "run_metrics"
-
-# Columns whose maximum is reported as the newest date of a table.
-_DATES = {"raw_events": "raw_event_date"}
+METRICS = "run_metrics"
 
 
 def _name(table: str) -> str:
@@ -33,9 +30,9 @@ class Refresh:
 
     def _observed(self, table: str, df: DataFrame) -> tuple[DataFrame, Observation]:
         seen = Observation(table)
-        days = [name for name, type_ in df.dtypes if type_ == "date"]
-        newest = F.max(days[0]).cast("string") if days else F.lit(None).cast("string")
-        return df.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(newest) if not days else newest.alias("newest")), seen
+        days = [F.col(name) for name, type_ in df.dtypes if type_ == "date"]
+        newest = F.max(days[0] if days else F.lit(None).cast("date")).cast("string")
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), newest.alias("newest")), seen
 
     def _note(self, table: str, seen: Observation) -> None:
         found = seen.get
@@ -62,31 +59,27 @@ class Refresh:
             raw = files.raw_events(self.store, after)
             if raw is None:
                 continue
-            staged = silver.stage(raw, table)
-            rows = silver.merge(None, staged.rows, table)
-            rows = rows.withColumn("ingested_at", F.current_timestamp())
+            # Good rows and rejects leave one pass, unshuffled; keys are merged when they are read.
+            rows = silver.stage(raw, table).withColumn("ingested_at", F.current_timestamp())
             watched, seen = self._observed(_name(table), rows)
             self.store.add_batch(_name(table), watched, upto)
             self._note(_name(table), seen)
-            # Rejects are written per table, so a table that failed half-way redoes its own only.
-            self.store.add_batch(f"{REJECTS}_{table}", staged.rejects, upto)
 
-    def rejects(self) -> DataFrame | None:
+    def rejects(self) -> DataFrame:
         """All rejects, once per event and reason, with the time they were found."""
-        out = None
+        found = []
         for table in silver.SPECS:
-            rows = self.store.rows(f"{REJECTS}_{table}")
+            rows = self.store.batches(_name(table))
             if rows is not None:
-                out = rows if out is None else out.unionByName(rows)
-        return None if out is None else out.dropDuplicates(["raw_event_key", "reason"])
+                found.append(silver.rejected(rows.withColumnRenamed("ingested_at", "rejected_at"), "rejected_at"))
+        return silver.distinct_rejects(found)
 
     def staged(self, table: str) -> DataFrame:
         """A staging table as it stands: its batches merged by the table's rule."""
         rows = self.store.rows(_name(table))
         if rows is None:
-            empty = self.spark.createDataFrame([], _RAW_SCHEMA)
-            return silver.load(empty, table)
-        return silver.merge(None, rows, table)
+            rows = silver.stage(self.spark.createDataFrame([], files.RAW_SCHEMA), table)
+        return silver.merge(None, silver.accepted(rows, table), table)
 
     def compact(self) -> None:
         """Fold the batches of every staging table into a snapshot, so reads merge less."""
@@ -197,8 +190,3 @@ class Refresh:
         self.store.add_batch(METRICS, rows.withColumn("run", F.lit(batch)), batch)
         return tables
 
-
-_RAW_SCHEMA = (
-    "file_path string, file_hash string, source_system string, event_type string, raw_event_date date,"
-    " pos int, payload string, raw_event_key string, ingest_batch bigint"
-)

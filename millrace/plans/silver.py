@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -23,7 +24,7 @@ from ..functions.scalars import (
     month_from_text,
     within_limit,
 )
-from ..operators import flags, split_rejects, upsert_guarded, upsert_latest
+from ..operators import flags, reject_reason, upsert_guarded, upsert_latest
 
 # Order of arrival: batch, event date, file, position in the file.
 ARRIVAL = ["ingest_batch", "raw_event_date", "file_path", "pos"]
@@ -509,48 +510,49 @@ SPECS: dict[str, Spec] = {
 }
 
 
-@dataclass(frozen=True)
-class Staged:
-    rows: DataFrame
-    rejects: DataFrame
-
-
-def _reject_columns(df: DataFrame) -> DataFrame:
-    return df.select(*LINEAGE, "event_type", "reason", "payload")
+def stage(raw: DataFrame, table: str) -> DataFrame:
+    """Typed rows of one staging table, good and bad, in one pass over its events.
 
+    `_reason` is NULL for a good row. `payload` stays where it is still needed: on rejects, and on
+    rows whose natural key may be NULL.
 
-def stage(raw: DataFrame, table: str) -> Staged:
-    """Typed rows of one staging table, and the events (or lines) that cannot be stored."""
+    The parse sits inside a generator on purpose: filters on parsed fields would otherwise be
+    pushed below the projection, each with a parse of its own.
+    """
     spec = SPECS[table]
-    events = raw.where(F.col("event_type").isin(list(spec.event_types)))
-    events = events.withColumn(DOC, p.parsed(F.col("payload")))
+    events = raw.where(F.col("event_type").isin(list(spec.event_types))).select(
+        *LINEAGE, "event_type", "payload", F.explode(F.array(p.parsed(F.col("payload")))).alias(DOC)
+    )
     if spec.skip is not None:
         events = events.where(~spec.skip())
-    rejected = None
-    if spec.rejects:
-        events, bad = split_rejects(events, *[(rule(), why) for rule, why in spec.rejects])
-        rejected = _reject_columns(bad)
     for source, name, alias in spec.unnest:
         events = events.withColumn(alias, F.explode(p.elements(F.col(source), name)))
-    raised = [
-        (rule(), flag if isinstance(flag, str) else flag()) for rule, flag in spec.flags
-    ]
-    rows = events.select(
+    raised = [(rule(), flag if isinstance(flag, str) else flag()) for rule, flag in spec.flags]
+    built = {name: build() for name, build in spec.columns.items()}
+    rules = [(rule(), why) for rule, why in spec.rejects]
+    rules += [(built[name].isNull(), f"null {name}") for name in spec.required]
+    reason = reject_reason(*rules)
+    payload = F.col("payload")
+    if not spec.nullable_key:
+        payload = F.when(reason.isNotNull(), payload)
+    return events.select(
         *LINEAGE,
         "event_type",
-        "payload",
+        payload.alias("payload"),
+        reason.alias("_reason"),
         flags(*raised).alias("_dq_flags"),
-        *[build().alias(name) for name, build in spec.columns.items()],
+        *[column.alias(name) for name, column in built.items()],
     )
-    if spec.required:
-        rules = [(F.col(name).isNull(), f"null {name}") for name in spec.required]
-        rows, bad = split_rejects(rows, *rules)
-        bad = _reject_columns(bad)
-        rejected = bad if rejected is None else rejected.unionByName(bad)
-    if rejected is None:
-        rejected = _reject_columns(rows.where(F.lit(False)).withColumn("reason", F.lit("")))
-    drop = [] if spec.nullable_key else ["payload"]
-    return Staged(rows.drop("event_type", *drop), rejected)
+
+
+def accepted(staged: DataFrame, table: str) -> DataFrame:
+    drop = ["event_type", "_reason"] + ([] if SPECS[table].nullable_key else ["payload"])
+    return staged.where(F.col("_reason").isNull()).drop(*drop)
+
+
+def rejected(staged: DataFrame, *more: str) -> DataFrame:
+    reason = F.col("_reason").alias("reason")
+    return staged.where(F.col("_reason").isNotNull()).select(*LINEAGE, "event_type", reason, "payload", *more)
 
 
 def merge(existing: DataFrame | None, rows: DataFrame, table: str) -> DataFrame:
@@ -568,13 +570,9 @@ def merge(existing: DataFrame | None, rows: DataFrame, table: str) -> DataFrame:
 
 def load(raw: DataFrame, table: str) -> DataFrame:
     """The staging table that results from all given events."""
-    return merge(None, stage(raw, table).rows, table)
+    return merge(None, accepted(stage(raw, table), table), table)
 
 
-def rejects(staged: Sequence[Staged]) -> DataFrame:
+def distinct_rejects(found: Sequence[DataFrame]) -> DataFrame:
     """All rejects, once per event and reason."""
-    frames = [s.rejects for s in staged]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out.dropDuplicates(["raw_event_key", "reason"])
+    return reduce(DataFrame.unionByName, found).dropDuplicates(["raw_event_key", "reason"])

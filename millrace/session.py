@@ -11,15 +11,16 @@ from pyspark.sql import SparkSession
 #  * UTC: `timestamp -> date` must not depend on where a job runs.
 #  * AQE with forced skew handling: a hot join key is split over several tasks even where the
 #    split costs a further shuffle for the operator that follows.
-#  * Broadcasts are never hinted in this package. Spark broadcasts a side only while its
-#    estimated or measured size stays below this threshold; above it, it sort-merges.
+#  * Broadcasts are never hinted in this package. Spark broadcasts a side only below a size limit:
+#    the cluster's own limit for sizes estimated before the run, the one here for sizes measured
+#    during it. Above them it sort-merges.
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
 }
 
 

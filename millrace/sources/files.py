@@ -14,6 +14,10 @@ from ..session import scratch_dir
 from .store import Store
 
 RAW, LEDGER = "raw_events", "ingested_files"
+RAW_SCHEMA = (
+    "file_path string, file_hash string, source_system string, raw_event_date date, reason string, pos int,"
+    " payload string, raw_event_key string, ingest_batch bigint, status string, event_type string"
+)
 
 # Source folders, folder names, and the date in the name of a demand signal.
 SOURCES = "adm|erp|forecast|tms"
@@ -141,12 +145,9 @@ def write_batch(store: Store, files: DataFrame) -> int:
     rows = parse(files).withColumn("ingest_batch", F.lit(batch).cast("bigint"))
     # Even out file sizes: many small sources per task on one side, one dominant source on the other.
     store.add_batch(RAW, rows.hint("rebalance", "status", "event_type"), batch, ["status", "event_type"])
-    written = store.batches(RAW, after=batch - 1, upto=batch)
-    if written is None or "status" not in written.columns:
-        counts = store.spark.createDataFrame([], "file_path string, file_hash string, row_count bigint")
-    else:
-        events = written.where("status = 'event'")
-        counts = events.groupBy("file_path", "file_hash").agg(F.count(F.lit(1)).alias("row_count"))
+    written = store.batches(RAW, after=batch - 1, upto=batch, schema=RAW_SCHEMA)
+    events = written.where("status = 'event'")
+    counts = events.groupBy("file_path", "file_hash").agg(F.count(F.lit(1)).alias("row_count"))
     counts = counts.withColumns(
         {"ingest_batch": F.lit(batch).cast("bigint"), "ingested_at": F.current_timestamp()}
     )
@@ -161,15 +162,13 @@ def ingest(store: Store, root: str) -> int:
 
 def raw_events(store: Store, after: int = 0) -> DataFrame | None:
     """Events of the batches after `after` that the ledger has confirmed."""
-    rows = store.batches(RAW, after=after, upto=store.last_batch(LEDGER))
-    if rows is None or "status" not in rows.columns:
-        return None
-    return rows.where("status = 'event'").drop("status", "reason")
+    rows = store.batches(RAW, after=after, upto=store.last_batch(LEDGER), schema=RAW_SCHEMA)
+    return None if rows is None else rows.where("status = 'event'").drop("status", "reason")
 
 
 def quarantine(store: Store) -> DataFrame | None:
     """Files that could not be used, with the reason; they are retried while they stay broken."""
-    rows = store.batches(RAW, upto=store.last_batch(LEDGER))
-    if rows is None or "status" not in rows.columns:
+    rows = store.batches(RAW, upto=store.last_batch(LEDGER), schema=RAW_SCHEMA)
+    if rows is None:
         return None
     return rows.where("status = 'quarantine'").select("file_path", "file_hash", "reason", "ingest_batch")

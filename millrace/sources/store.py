@@ -42,13 +42,19 @@ class Store:
     def add_snapshot(self, table: str, df: DataFrame, batch: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.folder(table)}/snap={batch:08d}")
 
-    def batches(self, table: str, after: int = 0, upto: int | None = None) -> DataFrame | None:
-        """Rows of the batches in (after, upto], one scan over all of them."""
+    def batches(
+        self, table: str, after: int = 0, upto: int | None = None, schema: str | None = None
+    ) -> DataFrame | None:
+        """Rows of the batches in (after, upto], one scan over all of them.
+
+        A table partitioned inside its batches needs its `schema`: a batch without rows has no file.
+        """
         numbers = [n for n in self._numbers(table, "batch") if n > after and (upto is None or n <= upto)]
         if not numbers:
             return None
         paths = [f"{self.folder(table)}/batch={n:08d}" for n in numbers]
-        reader = self.spark.read.option("basePath", self.folder(table)).option("mergeSchema", "true")
+        reader = self.spark.read.option("basePath", self.folder(table))
+        reader = reader.option("mergeSchema", "true") if schema is None else reader.schema(schema)
         return reader.parquet(*paths).drop("batch")
 
     def snapshot(self, table: str, before: int | None = None) -> DataFrame | None:
