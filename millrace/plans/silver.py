@@ -547,6 +547,8 @@ def stage(raw: DataFrame, table: str) -> DataFrame:
 
 def accepted(staged: DataFrame, table: str) -> DataFrame:
     drop = ["event_type", "_reason"] + ([] if SPECS[table].nullable_key else ["payload"])
+    if "_reason" not in staged.columns:  # a compacted table holds good rows only
+        return staged.drop(*drop)
     return staged.where(F.col("_reason").isNull()).drop(*drop)
 
 

@@ -66,15 +66,23 @@ def _described(files: DataFrame) -> DataFrame:
 
 
 def _elements(body: Column) -> Column:
-    """Canonical text of each record; NULL (or a NULL inside) where the file cannot be read."""
+    """Canonical text of each record; NULL (or a NULL inside) where the file cannot be read.
+
+    JSON readers stop at the end of the first document. The body is read as the only element of an
+    array, so that anything after the document makes it unreadable instead of being lost.
+    """
     head = F.substring(F.ltrim(body, F.lit(" \t\r\n")), 1, 1)
+    wrapped = F.concat(F.lit("["), body, F.lit("]"))
+    parts = F.try_variant_get(p.parsed(wrapped), "$", "array<variant>")
+    whole = F.when(F.size(parts) == 1, F.get(parts, F.lit(0)))
+    nested = F.from_json(wrapped, "array<array<string>>")
+    pieces = F.when(F.size(nested) == 1, F.get(nested, F.lit(0)))
     small = F.length(body) <= VARIANT_TEXT_LIMIT
-    whole = F.try_variant_get(p.parsed(body), "$", "array<variant>")
-    pieces = F.from_json(body, "array<string>")
+    records = F.try_variant_get(whole, "$", "array<variant>")
     return (
-        F.when((head == "[") & small, F.transform(whole, lambda v: F.to_json(v)))
+        F.when((head == "[") & small, F.transform(records, lambda v: F.to_json(v)))
         .when(head == "[", F.transform(pieces, lambda t: F.to_json(F.try_parse_json(t))))
-        .when(head == "{", F.array(p.canonical(p.parsed(body))))
+        .when(head == "{", F.array(p.canonical(whole)))
     )
 
 
