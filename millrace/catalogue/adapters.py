@@ -44,6 +44,16 @@ class Model:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, rows: DataFrame) -> DataFrame:
+        """Deal out the rows of a file that cannot be split (one row group is one task).
+
+        For work that costs much per row, such as parsing documents, and only where the scan has
+        fewer splits than the cluster has cores; a large table never has. Filters and column
+        pruning still reach the scan.
+        """
+        cores = self.spark.sparkContext.defaultParallelism
+        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
     # --- master data -------------------------------------------------------------------------
 
     @cached_property
