@@ -13,7 +13,8 @@ from pyspark.sql import SparkSession
 #    split costs a further shuffle for the operator that follows.
 #  * Broadcasts are never hinted in this package. Spark broadcasts a side only below a size limit:
 #    the cluster's own limit for sizes estimated before the run, the one here for sizes measured
-#    during it. Above them it sort-merges.
+#    during it. Above them it sort-merges. Sizes before the run come from compressed files; the
+#    compression factor keeps a table that is small only on disk from being broadcast.
 _RUNTIME = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -21,6 +22,7 @@ _RUNTIME = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
+    "spark.sql.sources.fileCompressionFactor": "5.0",
 }
 
 
