@@ -68,3 +68,13 @@ def register_views(t: Mapping[str, DataFrame], prefix: str = "export_") -> list[
         frame.createOrReplaceTempView(f"{prefix}{name}")
         names.append(f"{prefix}{name}")
     return names
+
+
+def write_views(t: Mapping[str, DataFrame], folder: str, file_format: str = "parquet") -> None:
+    """Write every view as files; `file_format="csv"` is for spreadsheets (arrays become text)."""
+    for name, frame in build_views(t).items():
+        if file_format == "csv":
+            arrays = {c: F.array_join(c, ",") for c, type_ in frame.dtypes if type_.startswith("array")}
+            frame = frame.withColumns(arrays) if arrays else frame
+        writer = frame.write.mode("overwrite").format(file_format)
+        writer.option("header", "true").save(f"{folder.rstrip('/')}/{name}")

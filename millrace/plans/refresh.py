@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..session import tune
@@ -22,8 +24,9 @@ def _name(table: str) -> str:
 class Refresh:
     """One run over a store. Every written table is observed: rows and newest date, no extra scan."""
 
-    def __init__(self, store: Store, horizon: Horizon = Horizon()) -> None:
+    def __init__(self, store: Store, horizon: Horizon = Horizon(), parallel_jobs: int = 4) -> None:
         self.store = store
+        self.parallel_jobs = parallel_jobs
         self.spark = tune(store.spark)
         self.horizon = horizon
         self.metrics: list[tuple[str, int, str | None]] = []
@@ -44,27 +47,38 @@ class Refresh:
         self._note(table, seen)
         return self.store.snapshot(table)
 
+    def _together(self, work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
+        """Submit independent jobs side by side, so short ones fill what long ones leave idle."""
+        names = list(names)
+        with ThreadPoolExecutor(self.parallel_jobs) as pool:
+            results = list(pool.map(inheritable_thread_target(self.spark)(work), names))
+        return dict(zip(names, results))
+
+    def _snapshots(self, plans: Mapping[str, DataFrame], batch: int) -> dict[str, DataFrame]:
+        return self._together(lambda name: self._snapshot(name, plans[name], batch), plans)
+
     # --- bronze and silver ---------------------------------------------------------------------
 
     def bronze(self, data_dir: str) -> int:
         return files.ingest(self.store, data_dir)
 
-    def silver(self) -> None:
+    def silver(self, tables: Iterable[str] = tuple(silver.SPECS)) -> None:
         """Stage the raw events each table has not seen; only they are read."""
         upto = self.store.last_batch(files.LEDGER)
-        for table in silver.SPECS:
+
+        def stage(table: str) -> None:
             after = self.store.last_batch(_name(table))
-            if after >= upto:
-                continue
-            raw = files.raw_events(self.store, after)
+            raw = files.raw_events(self.store, after) if after < upto else None
             if raw is None:
-                continue
+                return
             # Good rows and rejects leave one pass, unshuffled; keys are merged when they are read.
             rows = silver.stage(raw, table).withColumn("ingested_at", F.current_timestamp())
             watched, seen = self._observed(_name(table), rows)
             self.store.add_batch(_name(table), watched, upto)
             self._note(_name(table), seen)
 
+        self._together(stage, tables)
+
     def rejects(self) -> DataFrame:
         """All rejects, once per event and reason, with the time they were found."""
         found = []
@@ -101,7 +115,7 @@ class Refresh:
             "dim_carrier": dims.dim_carrier(m["carriers"], dims.reliability_overrides(changes)),
             "dim_warehouse": dims.dim_warehouse(m["warehouses"]),
         }
-        return {name: self._snapshot(name, plan, batch) for name, plan in plans.items()}
+        return self._snapshots(plans, batch)
 
     def facts(self, t: Mapping[str, DataFrame], batch: int) -> dict[str, DataFrame]:
         s, h = self.staged, self.horizon
@@ -126,7 +140,7 @@ class Refresh:
                 s("return_lines"), s("returns"), t["dim_customer"], t["dim_sku"], t["dim_carrier"], h
             ),
         }
-        return {name: self._snapshot(name, plan, batch) for name, plan in plans.items()}
+        return self._snapshots(plans, batch)
 
     def aggregates(self, t: Mapping[str, DataFrame], batch: int) -> dict[str, DataFrame]:
         s = self.staged
@@ -144,7 +158,7 @@ class Refresh:
                 t["fact_production"], t["dim_date"], s("production_reclassifications")
             ),
         }
-        return {name: self._snapshot(name, plan, batch) for name, plan in plans.items()}
+        return self._snapshots(plans, batch)
 
     def dropped(self, t: Mapping[str, DataFrame]) -> list[tuple[str, int, str | None]]:
         """Staging rows that found no dimension version, per fact (row counts of written files)."""

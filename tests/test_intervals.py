@@ -71,3 +71,34 @@ def test_join_is_a_hash_equality(spark):
     out = interval_join(f, v, [("k", "k")], "d", {"x": "effective_from"}, Buckets(BASE, date(2027, 1, 1)))
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_hot_key_is_split_where_the_side_is_too_big_to_broadcast(spark):
+    """A third of all facts on one key and bucket, no broadcast: the hot partition is divided."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        facts = spark.range(0, 300_000, 1, 8).selectExpr(
+            "id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 1000) END AS k", "date'2026-03-01' AS d"
+        )
+        sides = spark.range(1000).selectExpr(
+            "CASE WHEN id = 0 THEN 'hot' ELSE concat('k', id) END AS k", "date'2026-01-01' AS effective_from", "cast(NULL AS date) AS effective_to"
+        )
+        out = interval_join(facts, sides, [("k", "k")], "d", {"since": "effective_from"}, Buckets(BASE, date(2027, 12, 31)))
+        # A grouping by the join key follows, as in the scorecards.
+        out = out.groupBy("k").agg(F.count("since").alias("n"))
+        found = {r.k: r.n for r in out.collect()}
+        assert found["hot"] == 100_000 and sum(found.values()) == 300_000 - facts.where("k = 'k0'").count()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
