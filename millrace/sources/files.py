@@ -49,6 +49,12 @@ def _readable(files: DataFrame) -> DataFrame:
     return files.where(F.col("length") <= MAX_FILE_BYTES)
 
 
+def _oversized(files: DataFrame) -> DataFrame:
+    """Files longer than one row can hold; their contents are not read."""
+    too_long = files.where(F.col("length") > MAX_FILE_BYTES).drop("content")
+    return too_long.withColumn("content", F.lit(None).cast("binary"))
+
+
 def _described(files: DataFrame) -> DataFrame:
     parts = F.split("path", "/")
     folder, name = F.element_at(parts, -2), F.element_at(parts, -1)
@@ -58,6 +64,7 @@ def _described(files: DataFrame) -> DataFrame:
     return files.select(
         F.col("path").alias("file_path"),
         F.sha2("content", 256).alias("file_hash"),
+        F.col("content").isNull().alias("unread"),
         F.element_at(parts, -3).alias("source_system"),
         F.when(signals, "demand_signals").otherwise(F.regexp_replace(name, r"\.json$", "")).alias("event_type"),
         F.when(signals, signal_date).otherwise(folder_date).alias("raw_event_date"),
@@ -92,10 +99,12 @@ def parse(files: DataFrame) -> DataFrame:
     A file that cannot be used gives one row with a `reason` instead. Repeats are removed as an
     array operation inside the file's own row, so nothing is shuffled for it.
     """
-    read = _described(_readable(files)).withColumn("records", _elements(F.col("body"))).drop("body")
+    found = _readable(files).unionByName(_oversized(files))
+    read = _described(found).withColumn("records", _elements(F.col("body"))).drop("body")
     broken = F.coalesce(F.exists("records", lambda r: r.isNull()), F.lit(True))
     reason = (
-        F.when(F.col("raw_event_date").isNull(), "no event date")
+        F.when(F.col("unread"), "file too large")
+        .when(F.col("raw_event_date").isNull(), "no event date")
         .when(broken, "unreadable JSON")
         .when(F.size("records") == 0, "empty file")
     )
@@ -140,7 +149,8 @@ def changed_files(store: Store, files: DataFrame) -> DataFrame:
     fresh = changed_only(prints, known, ["file_path", "file_hash"]).select(F.col("file_path").alias("path"))
     folder = scratch_dir(store.spark, "changed-files")
     fresh.write.parquet(folder)
-    return readable.join(store.spark.read.schema("path string").parquet(folder), "path", "left_semi")
+    changed = readable.join(store.spark.read.schema("path string").parquet(folder), "path", "left_semi")
+    return changed.unionByName(_oversized(files))
 
 
 def write_batch(store: Store, files: DataFrame) -> int:

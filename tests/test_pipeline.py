@@ -294,6 +294,18 @@ def test_large_files_take_the_element_path(spark, tmp_path, monkeypatch):
     assert len(small) == 150 + 1
 
 
+def test_oversized_files_are_reported_and_the_rest_goes_on(spark, tmp_path, monkeypatch):
+    put(tmp_path / "data", "erp/2026-01-06/payments.json", [{"event_id": "E1"}])
+    put(tmp_path / "data", "erp/2026-01-07/payments.json", [{"event_id": "x" * 500}])
+    monkeypatch.setattr(files, "MAX_FILE_BYTES", 100)
+    store = Store(spark, str(tmp_path / "store"))
+    for run in (1, 2):
+        files.ingest(store, str(tmp_path / "data"))
+        assert files.raw_events(store).count() == 1
+        found = files.quarantine(store).where(f"ingest_batch = {run}").collect()
+        assert [(Path(r.file_path).parent.name, r.reason) for r in found] == [("2026-01-07", "file too large")]
+
+
 def test_master_files(spark, tmp_path):
     from millrace.sources.master import read_master
 
