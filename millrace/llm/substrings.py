@@ -189,7 +189,9 @@ def remove_repeats(docs: DataFrame, length: int = 35, id_col: str = "doc_id", te
     rows = docs.select(*content_key(text), F.col(id_col).alias("id"), text.alias("text"))
     # One row per distinct text: how many copies, and which id stands for them.
     chosen = rows.groupBy(*KEY).agg(F.min("id").alias("chosen"), F.count(F.lit(1)).alias("copies"))
-    once = rows.join(chosen, KEY).where(F.col("id").eqNullSafe(F.col("chosen")))
+    # Not written as an equality: that would become a join key, and cost a shuffle of its own.
+    stands = (F.col("id") <= F.col("chosen")) & (F.col("id") >= F.col("chosen"))
+    once = rows.join(chosen, KEY).where(F.coalesce(stands, F.col("chosen").isNull()))
 
     steps = levels(length)
     base = steps[0]
