@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, substrings
+from . import bpe, contamination, near, substrings
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
 def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
     rows = substrings.remove_repeats(table(spark, folder, "documents"), 35)
     return rows.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near.near_duplicates(table(spark, folder, "documents"), size=5, threshold=0.8)
