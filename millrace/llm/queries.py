@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, near, substrings
+from . import bpe, contamination, near, substrings, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,13 @@ def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op2_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return near.near_duplicates(table(spark, folder, "documents"), size=5, threshold=0.8)
+
+
+@query
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    scored = docs.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
