@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, near, substrings, toxicity
+from . import bpe, contamination, near, pii, substrings, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,3 +66,22 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), model.score(F.col("text")).alias("score")
     )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = table(spark, folder, "documents").select("doc_id", pii.spans(F.col("text")).alias("found"))
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["begin"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    base = F.filter("found", lambda s: s["base"])
+    return found.select(
+        "doc_id",
+        *(count(kind) for kind in pii.KINDS),
+        F.sha2(listed(base), 256).alias("base_sha256"),
+        listed(F.col("found")).alias("spans"),
+    )
