@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, near, pii, substrings, toxicity
+from . import bpe, contamination, lzprint, near, pii, substrings, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,10 @@ def op6_pii(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"),
         listed(F.col("found")).alias("spans"),
     )
+
+
+@query
+def op7_lzprint(spark: SparkSession, folder: str) -> DataFrame:
+    rows = lzprint.compare_with_next(table(spark, folder, "documents"))
+    prints = ("fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *prints)
