@@ -14,7 +14,7 @@ the diagonal; the alignment looks at this band alone and is exact for the decisi
 
 Not all pairs of a bucket are compared. First each member meets a few pivots of its bucket, chosen anew in each
 bucket; links make components. Then only members of one bucket that are still in different components meet,
-and only if their lengths and shingle histograms allow the threshold. So no link that joins different
+and only if their lengths and shingle histograms (kept as parity bits) allow the threshold. So no link that joins different
 components is lost, and a group of thousands of copies costs a few comparisons for each copy.
 
 Equal texts are one node throughout. Counts and minima are pre-aggregated before they are joined, so a bucket
@@ -37,7 +37,8 @@ from . import words as W
 from .common import content_key, fresh, prepare, stored
 from .components import components
 
-SKETCHES, PICKS, PIVOTS, CELLS = 24, 4, 2, 32
+SKETCHES, PICKS, PIVOTS, CELLS = 24, 4, 2, 1024
+PARITY = [f"parity_{k}" for k in range(CELLS // 64)]
 NODE = ["key_a", "key_b"]
 
 
@@ -78,10 +79,15 @@ def sketch(found: np.ndarray, orders: np.ndarray, picks: int) -> np.ndarray:
 
 
 def histogram(found: np.ndarray) -> np.ndarray:
-    """Shingles by cell of their hash: at least half the difference of two histograms lies outside any alignment."""
+    """Shingles by cell of their hash. What two histograms differ by lies outside any alignment."""
     return np.bincount((found >> np.uint64(40)).astype(np.int64) % CELLS, minlength=CELLS)
 
 
+def parity(found: np.ndarray) -> np.ndarray:
+    """Whether each cell of the histogram is odd, as bits. Two histograms differ by at least the bits that do."""
+    return np.packbits((histogram(found) & 1).astype(np.uint8)).view(np.int64)
+
+
 def banded_lcs(a: np.ndarray, b: np.ndarray, band: int) -> int:
     """Longest common subsequence among the cells at most `band` off the diagonal; bit-parallel."""
     if len(a) < len(b):
@@ -141,32 +147,32 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float) -> bool:
 
 
 def _sketched(rows: DataFrame, size: int, sketches: int, picks: int) -> DataFrame:
-    """Per row its node, number of shingles, histogram and Order MinHash values."""
+    """Per row its node, number of shingles, Order MinHash values and histogram parities."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         orders = np.stack([W.seeds(sketches, 11), W.seeds(sketches, 12) | np.uint64(1)], axis=1)
         for batch in batches:
             for begin, end in W.slices(batch.column(0)):
                 found = W.find(batch.column(0).slice(begin, end - begin))
-                n, cells, values = [], [], []
+                n, odd, values = [], [], []
                 for first, last in zip(found.first[:-1], found.first[1:]):
                     one = shingles(found.hash[first:last], size)
                     n.append(len(one))
-                    cells.append(histogram(one).astype(np.int32))
+                    odd.append(parity(one))
                     values.append(sketch(one, orders, picks).view(np.int64) if len(one) else np.zeros(0, np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(1).slice(begin, end - begin),
                         batch.column(2).slice(begin, end - begin),
                         pa.array(n, pa.int64()),
-                        pa.array(cells, pa.list_(pa.int32())),
                         pa.array(values, pa.list_(pa.int64())),
+                        *(pa.array(column) for column in np.array(odd, np.int64).reshape(-1, len(PARITY)).T.copy()),
                     ],
-                    names=[*NODE, "n", "cells", "sketch"],
+                    names=[*NODE, "n", "sketch", *PARITY],
                 )
 
     return rows.select("text", *NODE).mapInArrow(
-        emit, "key_a bigint, key_b int, n bigint, cells array<int>, sketch array<bigint>"
+        emit, f"key_a bigint, key_b int, n bigint, sketch array<bigint>, {', '.join(f'{c} bigint' for c in PARITY)}"
     )
 
 
@@ -188,13 +194,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, size: int, threshold: float) -
 
 
 def _possible(a: str, b: str, threshold: float) -> Column:
-    """What every similar pair meets: lengths and histograms."""
+    """What every similar pair meets: lengths, and how far the histograms may differ."""
     total = F.col(f"{a}.n") + F.col(f"{b}.n")
     need = total * (threshold / (1 + threshold)) - 1e-6
-    apart = F.aggregate(
-        F.zip_with(f"{a}.cells", f"{b}.cells", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x
-    )
-    return (F.least(f"{a}.n", f"{b}.n") >= need) & ((total - apart) / 2 >= need)
+    differ = sum((F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}"))) for c in PARITY), F.lit(0))
+    return (F.least(f"{a}.n", f"{b}.n") >= need) & (differ <= total - 2 * need)
 
 
 def classes(
@@ -210,9 +214,10 @@ def classes(
     node = F.struct(*NODE).alias("node")
 
     nodes = _sketched(rows, size, sketches, picks).groupBy(*NODE).agg(
-        *(F.first(c).alias(c) for c in ("n", "cells", "sketch"))
+        *(F.first(c).alias(c) for c in ("n", "sketch", *PARITY))
     )
-    nodes = stored(nodes.select(node, "n", "cells", "sketch"), "order-minhash")
+    nodes = stored(nodes.select(node, "n", "sketch", *PARITY), "order-minhash")
+    facts = nodes.select("node", "n", *PARITY)
     members = nodes.select("node", F.explode("sketch").alias("bucket"))
     # Pivots of a bucket: least by orders that differ from bucket to bucket.
     order = lambda k: F.xxhash64("bucket", "node", F.lit(k))
@@ -224,7 +229,10 @@ def classes(
     shared = members.join(pivots.where("size > 1").select("bucket", chosen.alias("pivots")), "bucket")
     shared = stored(shared, "buckets")
     stars = shared.select(F.col("node").alias("a"), F.explode("pivots").alias("b")).where("a <> b")
-    stars = stored(stars.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct(), "pairs")
+    stars = stars.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    stars = stars.join(facts.select(F.struct("*").alias("a")), F.col("u") == F.col("a.node"))
+    stars = stars.join(facts.select(F.struct("*").alias("b")), F.col("v") == F.col("b.node"))
+    stars = stored(stars.where(_possible("a", "b", threshold)).select("u", "v"), "pairs")
 
     # Only texts that meet another are moved; they are stored once, one row for each text.
     wanted = shared.select("node.*").distinct()
@@ -237,7 +245,6 @@ def classes(
     placed = shared.select("bucket", "node").join(parts, "node", "left")
     placed = placed.select("bucket", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    facts = nodes.select("node", "n", "cells")
     left = stored(placed.join(mixed, "bucket", "left_semi").join(facts, "node"), "mixed")
     apart = (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
     rest = left.alias("a").join(
