@@ -18,6 +18,7 @@ import hashlib
 import re
 import struct
 import sys
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -26,96 +27,120 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 CACHE_PIECES = 300_000
 CACHED_BYTES = 48
+CACHED_PAIRS = 500_000
 # One bitmap word has 32 bits; Python's integers hold the summary whole.
 _SHIFT, _MASK = 5, 31
-_BIT = [1 << i for i in range(32)]
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+class PairRanks(dict):
+    """Rank of the token that two tokens make (-1: none), by left << 32 | right; filled as pairs come up.
+
+    The rank of a token is its id.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.byte = [ranks.get(bytes([b]), -1) for b in range(256)]
+
+    def __missing__(self, pair: int) -> int:
+        if len(self) >= CACHED_PAIRS:
+            self.clear()
+        rank = self.ranks.get(self.tokens[pair >> 32] + self.tokens[pair & 0xFFFFFFFF], -1)
+        self[pair] = rank
+        return rank
+
+
+def merge(piece: bytes, pairs: PairRanks) -> list[int]:
     """Ids of one piece: always the lowest rank first, the leftmost of equals first."""
     n = len(piece)
-    get = ranks.get
-    wait = [get(piece[i : i + 2], -1) for i in range(n)]  # rank of the pair that begins at a node
-    wait[-1:] = [-1]
-    after = list(range(1, n + 2))  # the next node; also where the node's bytes end
+    byte = pairs.byte
+    token = [byte[b] for b in piece]
+    wait = [pairs[a << 32 | b] for a, b in zip(token, token[1:])]  # rank of the pair that begins at a node
+    wait.append(-1)
+    after = list(range(1, n + 2))
     before = list(range(-1, n))
-    buckets: dict[int, list[int]] = {}
+    buckets: dict[int, int | list[int]] = {}  # one position, or a heap of several
     bits: dict[int, int] = {}
     summary = 0
     for i, rank in enumerate(wait):
         if rank >= 0:
             if rank in buckets:
-                buckets[rank].append(i)
-                continue
-            buckets[rank] = [i]
-            word = rank >> _SHIFT
-            if word in bits:
-                bits[word] |= _BIT[rank & _MASK]
+                _add(buckets, rank, i)
             else:
-                bits[word] = _BIT[rank & _MASK]
-                summary |= 1 << word
+                buckets[rank] = i
+                word = rank >> _SHIFT
+                if word in bits:
+                    bits[word] |= 1 << (rank & _MASK)
+                else:
+                    bits[word] = 1 << (rank & _MASK)
+                    summary |= 1 << word
     while summary:
         word = (summary & -summary).bit_length() - 1
         filled = bits[word]
         low = filled & -filled
         rank = (word << _SHIFT) + low.bit_length() - 1
-        positions = buckets.pop(rank)
-        if filled == low:
-            del bits[word]
-            summary ^= 1 << word
+        held = buckets[rank]
+        if held.__class__ is int:
+            i = held
+            held = None
         else:
-            bits[word] = filled ^ low
-        if len(positions) > 1:
-            positions.sort()
-        lower = False
-        for k, i in enumerate(positions):
-            if wait[i] != rank:
-                continue  # stale
-            if lower:  # a pair of this rank or a lower one has come up: the rest of the bucket waits
-                rest = positions[k:]
-                fresh = [(rank, x) for x in rest if wait[x] == rank]
-                i = -1
+            i = heappop(held)
+        if not held:
+            del buckets[rank]
+            if filled == low:
+                del bits[word]
+                summary ^= 1 << word
             else:
-                j = after[i]
-                end = after[j]
-                wait[j] = wait[i] = -1
-                after[i] = end
-                before[end] = i
-                fresh = []
-                if end < n:
-                    pair = get(piece[i : after[end]])
-                    if pair is not None:
-                        wait[i] = pair
-                        fresh.append((pair, i))
-                left = before[i]
-                if left >= 0:
-                    pair = get(piece[left:end])
-                    if pair is not None:
-                        wait[left] = pair
-                        fresh.append((pair, left))
-                    else:
-                        wait[left] = -1
-            for pair, at in fresh:
-                if pair <= rank:
-                    lower = True
+                bits[word] = filled ^ low
+        if wait[i] != rank:
+            continue  # stale
+        j = after[i]
+        end = after[j]
+        wait[j] = token[j] = -1
+        token[i] = rank
+        after[i] = end
+        before[end] = i
+        fresh = before[i]
+        if fresh >= 0:
+            pair = pairs[token[fresh] << 32 | rank]
+            wait[fresh] = pair
+            if pair >= 0:
                 if pair in buckets:
-                    buckets[pair].append(at)
-                    continue
-                buckets[pair] = [at]
+                    _add(buckets, pair, fresh)
+                else:
+                    buckets[pair] = fresh
+                    word = pair >> _SHIFT
+                    if word in bits:
+                        bits[word] |= 1 << (pair & _MASK)
+                    else:
+                        bits[word] = 1 << (pair & _MASK)
+                        summary |= 1 << word
+        if end >= n:
+            wait[i] = -1
+            continue
+        pair = pairs[rank << 32 | token[end]]
+        wait[i] = pair
+        if pair >= 0:
+            if pair in buckets:
+                _add(buckets, pair, i)
+            else:
+                buckets[pair] = i
                 word = pair >> _SHIFT
                 if word in bits:
-                    bits[word] |= _BIT[pair & _MASK]
+                    bits[word] |= 1 << (pair & _MASK)
                 else:
-                    bits[word] = _BIT[pair & _MASK]
+                    bits[word] = 1 << (pair & _MASK)
                     summary |= 1 << word
-            if i < 0:
-                break
-    out, i = [], 0
-    while i < n:
-        j = after[i]
-        out.append(ranks[piece[i:j]])
-        i = j
-    return out
+    return [t for t in token if t >= 0]
+
+
+def _add(buckets: dict[int, int | list[int]], rank: int, position: int) -> None:
+    held = buckets[rank]
+    if held.__class__ is list:
+        heappush(held, position)
+    else:
+        buckets[rank] = [held, position] if held < position else [position, held]
 
 
 def pack(ids: list[int]) -> bytes:
@@ -128,35 +153,45 @@ class Codec:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.find = regex.compile(unicode_space(pattern)).findall
-        self.cache: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        self.pairs = PairRanks(ranks)
+        self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
-            self.tokens[rank] = token
+            tokens[rank] = token
+        self.pool = np.frombuffer(b"".join(tokens), np.uint8)
+        self.length = np.array([len(t) for t in tokens], np.int64)
+        self.begin = np.cumsum(self.length) - self.length
 
     def piece(self, piece: str) -> bytes:
-        found = self.older.get(piece)
+        """Ids of one match of the pattern."""
+        found = self.older_pieces.get(piece)
         if found is None:
             # Half of a surrogate pair is no character; it is encoded as the replacement character.
             raw = piece.encode("utf-8", "replace")
             whole = self.ranks.get(raw)
-            found = pack(merge(raw, self.ranks) if whole is None else [whole])
+            found = pack(merge(raw, self.pairs) if whole is None else [whole])
             if len(raw) > CACHED_BYTES:
                 return found
-        if len(self.cache) >= CACHE_PIECES:
-            self.cache, self.older = {}, self.cache
-        self.cache[piece] = found
+        if len(self.pieces) >= CACHE_PIECES:
+            self.pieces, self.older_pieces = {}, self.pieces
+        self.pieces[piece] = found
         return found
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if not text:
             return b""
-        get, slow = self.cache.get, self.piece
+        get, slow = self.pieces.get, self.piece
         return b"".join([get(p) or slow(p) for p in self.find(text)])
 
     def decode(self, ids: bytes | None) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+        found = np.frombuffer(ids or b"", "<u4")
+        if len(found) and found.max() >= len(self.length):
+            raise ValueError("an id outside the vocabulary")
+        length = self.length[found]
+        skip = self.begin[found] - (np.cumsum(length) - length)
+        return self.pool[np.repeat(skip, length) + np.arange(length.sum())].tobytes()
 
 
 def unicode_space(pattern: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, lzprint, near, pii, substrings, toxicity
+from . import bpe, contamination, lm, lzprint, near, pii, substrings, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +92,9 @@ def op7_lzprint(spark: SparkSession, folder: str) -> DataFrame:
     rows = lzprint.compare_with_next(table(spark, folder, "documents"))
     prints = ("fingerprint", "edited_fingerprint", "near_edited", "near_next")
     return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), *prints)
+
+
+@query
+def op8_lm(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return lm.score(docs, lm.fit(docs, table(spark, folder, "labels")))

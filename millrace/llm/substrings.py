@@ -136,7 +136,8 @@ def _global(found: W.Words, places: pa.Array) -> np.ndarray:
 
 def _repeated(rows: DataFrame) -> DataFrame:
     """Per text the places whose window stands in two places at least."""
-    twice = rows.groupBy("hash").count().where("count > 1").select("hash")
+    # Computed anew so that the join shuffles it by itself: only then may adaptive execution split the other side.
+    twice = rows.groupBy("hash").count().where("count > 1").select(F.col("hash").bitwiseXOR(F.lit(0)).alias("hash"))
     kept = rows.join(twice, "hash", "left_semi")
     key_b = F.shiftright("loc", 32).cast("int").alias("key_b")
     place = F.col("loc").bitwiseAND(0xFFFFFFFF).cast("int")
