@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, lm, lzprint, near, pii, substrings, toxicity
+from . import bpe, contamination, licenses, lm, lzprint, near, pii, substrings, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +98,19 @@ def op7_lzprint(spark: SparkSession, folder: str) -> DataFrame:
 def op8_lm(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return lm.score(docs, lm.fit(docs, table(spark, folder, "labels")))
+
+
+@query
+def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"), licenses.notices(spark))
+    return found.select(
+        "doc_id",
+        F.size("matches").cast("bigint").alias("n_matches"),
+        F.array_join(F.transform("matches", lambda m: m["template"]), ",").alias("licenses"),
+        F.coalesce(F.round(F.array_max(F.transform("matches", lambda m: m["containment"])), 6), F.lit(0.0)).alias(
+            "best_containment"
+        ),
+    )
+
+
+ORACLE["op9_licenses"] = licenses.SQL
