@@ -23,6 +23,7 @@ is null are not used; of several labels of one id the largest holds.
 from __future__ import annotations
 
 import re
+import sys
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -35,23 +36,18 @@ from .common import prepare
 
 DECAY, FLOOR, SHARP, LONGEST = 0.6, 0.5, 8, 20
 ROWS, LANDMARKS, COMMON = 4000, 160, 8
+KNOWN = 3_000_000  # words a worker remembers
 
 _PARTS = re.compile(r"[^\W_]+")
 _SYMBOLS = 64
 
 
-def _codes(word: str) -> list[int]:
-    """Letters as numbers below 64: a-z, 0-9, and the others dealt over what is left."""
-    out = []
-    for c in word:
-        o = ord(c)
-        if 97 <= o <= 122:
-            out.append(o - 97)
-        elif 48 <= o <= 57:
-            out.append(o - 22)
-        else:
-            out.append(36 + o * 7 % 28)
-    return out
+def _codes(words: list[str]) -> np.ndarray:
+    """Letters of words of one length as numbers below 64: a-z, 0-9, and the others dealt over what is left."""
+    o = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
+    o = o.reshape(len(words), -1)
+    letter, digit = (o >= 97) & (o <= 122), (o >= 48) & (o <= 57)
+    return np.where(letter, o - 97, np.where(digit, o - 22, 36 + o * 7 % 28))
 
 
 def forms(token: str) -> list[str]:
@@ -59,6 +55,8 @@ def forms(token: str) -> list[str]:
 
     What is longer than `LONGEST` is cut into overlapping pieces.
     """
+    if token.isalnum() and len(token) <= LONGEST:
+        return [token.lower()] if len(token) >= 3 else []
     parts = _PARTS.findall(token.lower())
     whole = "".join(parts)
     found = {whole, *parts} if len(parts) > 1 else {whole}
@@ -110,7 +108,7 @@ class Landmarks:
         self.slot = np.full(_SYMBOLS**3, -1, np.int32)
         columns: dict[int, np.ndarray] = {}
         for k, word in enumerate(self.words):
-            codes = np.array([_codes(word)])
+            codes = _codes([word])
             found, weight = _subsequences(codes)
             scale = 1 / np.sqrt(self_kernel(codes)[0])
             for u, w in zip(found[0].tolist(), weight):
@@ -118,6 +116,7 @@ class Landmarks:
         for i, u in enumerate(columns):
             self.slot[u] = i
         self.matrix = np.array([*columns.values()], np.float32).reshape(len(columns), len(self.words))
+        self.most = np.append(self.matrix.max(axis=1, initial=0), 0)  # the last one is for what no landmark has
 
     def values(self, found: list[str]) -> np.ndarray:
         """Normalised kernel of each word with each landmark; below `FLOOR` it is 0."""
@@ -127,67 +126,119 @@ class Landmarks:
         lengths = np.array([len(w) for w in found])
         for length in np.unique(lengths):
             rows = np.flatnonzero(lengths == length)
-            at, weight = _triples(int(length))
-            for part in np.array_split(rows, max(1, len(rows) * len(at) // 400_000)):
-                codes = np.array([_codes(found[r]) for r in part])
+            places, weight = _triples(int(length))
+            for part in np.array_split(rows, max(1, len(rows) * len(places) // 400_000)):
+                codes = _codes([found[r] for r in part])
                 slots = self.slot[_subsequences(codes)[0]]
-                # No landmark can be near where too little weight falls on the landmarks' subsequences.
+                # An upper bound: every subsequence at its largest weight in any landmark.
+                bound = self.most[slots] @ weight
+                near = np.flatnonzero(bound >= FLOOR * np.sqrt((weight**2).sum()))
+                norm = np.sqrt(self_kernel(codes[near]))
+                close = bound[near] >= FLOOR * norm
+                near, norm = near[close], norm[close]
                 hit = slots >= 0
-                near = np.flatnonzero(hit @ weight >= FLOOR * np.sqrt((weight**2).sum()))
-                for some in np.array_split(near, len(near) // 400 + 1):
-                    if not len(some):
-                        continue
+                for at in range(0, len(near), 400):
+                    some = near[at : at + 400]
                     row, col = np.nonzero(hit[some])
                     share = self.matrix[slots[some][row, col]] * weight[col, None].astype(np.float32)
                     value = np.add.reduceat(share, np.searchsorted(row, np.arange(len(some))))
-                    value /= np.sqrt(self_kernel(codes[some]))[:, None]
+                    value /= norm[at : at + 400, None]
                     value[value < FLOOR] = 0
                     out[part[some]] = value
         return out
 
 
-def tokens(texts: pa.Array) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
-    """Distinct tokens of a batch as lists of forms, and (token, text) of every distinct occurrence."""
+def tokens(texts: pa.Array) -> tuple[np.ndarray, list, np.ndarray, np.ndarray]:
+    """Distinct tokens of a batch (hash, and bytes or where they are), and (token, text) of every occurrence."""
     found = W.find(texts)
     text = found.text_of()
     size = found.end - found.start
+    hashes, owner = [found.hash], [text]
     # Letters spelled out: runs of at least three tokens of one letter are one more token.
-    single = (size == 1) | ((size == 2) & (found.data[found.start] >= 0xC0) if len(size) else size == 2)
-    edge = np.diff(np.concatenate([[0], single.astype(np.int8), [0]]))
     extra = []
-    for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-        for t in np.unique(text[a:b]):
-            run = np.arange(a, b)[text[a:b] == t]
-            if len(run) >= 3:
-                raw = b"".join(found.data[found.start[i] : found.end[i]].tobytes() for i in run)
-                extra.append((raw.decode("utf-8", "replace"), int(t)))
-    distinct, first, inverse = np.unique(found.hash, return_index=True, return_inverse=True)
-    pairs = np.unique(inverse.astype(np.int64) * (len(found.first)) + text)
-    data = found.data.tobytes()
-    starts, ends = found.start[first].tolist(), found.end[first].tolist()
-    out = [forms(data[a:b].decode("utf-8", "replace")) for a, b in zip(starts, ends)]
-    token, owner = pairs // len(found.first), pairs % len(found.first)
+    if len(size):
+        single = (size == 1) | ((size == 2) & (found.data[found.start] >= 0xC0))
+        edge = np.diff(np.concatenate([[0], single.astype(np.int8), [0]]))
+        begins, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        for a, b in zip(begins[ends - begins >= 3].tolist(), ends[ends - begins >= 3].tolist()):
+            for t in np.unique(text[a:b]):
+                run = np.arange(a, b)[text[a:b] == t]
+                if len(run) >= 3:
+                    extra.append((b"".join(found.data[found.start[i] : found.end[i]].tobytes() for i in run), int(t)))
     if extra:
-        token = np.append(token, np.arange(len(out), len(out) + len(extra)))
-        owner = np.append(owner, [t for _, t in extra])
-        out += [forms(w) for w, _ in extra]
-    return out, token, owner
-
-
-def matches(texts: pa.Array, landmarks: Landmarks) -> np.ndarray:
-    """Best match of each text with each landmark."""
-    best = np.zeros((len(texts), len(landmarks.words)), np.float32)
-    for begin, end in W.slices(texts, 4 << 20):
-        found, token, owner = tokens(texts.slice(begin, end - begin))
-        flat = [(f, i) for i, fs in enumerate(found) for f in fs]
-        per_token = np.zeros((len(found), len(landmarks.words)), np.float32)
+        spelled = W.find(pa.array([raw for raw, _ in extra], pa.binary()).cast(pa.string()))
+        hashes.append(spelled.hash)
+        owner.append(np.array([t for _, t in extra]))
+    distinct, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    n = len(found.hash)
+
+    def spelling(i: int) -> str:
+        k = first[i]
+        raw = found.data[found.start[k] : found.end[k]].tobytes() if k < n else extra[k - n][0]
+        return raw.decode("utf-8", "replace")
+
+    return distinct, spelling, inverse, np.concatenate(owner)
+
+
+class Matcher:
+    """Best matches of texts with landmarks; remembers the words it has seen, up to a bounded number."""
+
+    def __init__(self, landmarks: Landmarks):
+        self.landmarks = landmarks
+        self.far = np.zeros(0, np.uint64)  # words that match nothing, ascending
+        self.near: dict[int, np.ndarray] = {}
+
+    def learn(self, hashes: np.ndarray, spellings: list[str]) -> None:
+        flat = [(f, i) for i, token in enumerate(spellings) for f in forms(token)]
+        value = np.zeros((len(spellings), len(self.landmarks.words)), np.float32)
         if flat:
-            values = landmarks.values([f for f, _ in flat])
+            values = self.landmarks.values([f for f, _ in flat])
             alive = np.flatnonzero(values.any(axis=1))
-            np.maximum.at(per_token, np.array([i for _, i in flat])[alive], values[alive])
-        used = per_token.any(axis=1)[token]
-        np.maximum.at(best, owner[used] + begin, per_token[token[used]])
-    return best
+            np.maximum.at(value, np.array([i for _, i in flat])[alive], values[alive])
+        alive = value.any(axis=1)
+        if len(self.far) > KNOWN or len(self.near) > KNOWN // 50:
+            self.far, self.near = np.zeros(0, np.uint64), {}
+        self.far = np.union1d(self.far, hashes[~alive])
+        self.near.update(zip(hashes[alive].tolist(), value[alive]))
+
+    def matches(self, texts: pa.Array) -> np.ndarray:
+        """Best match of each text with each landmark."""
+        best = np.zeros((len(texts), len(self.landmarks.words)), np.float32)
+        for begin, end in W.slices(texts, 4 << 20):
+            distinct, spelling, token, owner = tokens(texts.slice(begin, end - begin))
+            if not len(distinct):
+                continue
+            far = _among(distinct, self.far)
+            rest = np.flatnonzero(~far)
+            unknown = [i for i in rest.tolist() if int(distinct[i]) not in self.near]
+            if unknown:
+                self.learn(distinct[unknown], [spelling(i) for i in unknown])
+            rows = [i for i in rest.tolist() if int(distinct[i]) in self.near]
+            if not rows:
+                continue
+            slot = np.full(len(distinct), -1)
+            slot[rows] = np.arange(len(rows))
+            value = np.array([self.near[int(distinct[i])] for i in rows])
+            used = np.flatnonzero(slot[token] >= 0)
+            pairs = np.unique(slot[token[used]] * len(texts) + owner[used])
+            np.maximum.at(best, pairs % len(texts) + begin, value[pairs // len(texts)])
+        return best
+
+
+def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
+def matcher(words: list[str]) -> Matcher:
+    """The matcher of these landmarks in this worker process, so that all its tasks share what it knows."""
+    kept = sys.__dict__.setdefault("_millrace_matchers", {})
+    name = "\0".join(words)
+    if name not in kept:
+        kept.clear()
+        kept[name] = Matcher(Landmarks(words))
+    return kept[name]
 
 
 @dataclass
@@ -208,7 +259,7 @@ class Model:
         """Probability of label 1, between 0 and 1."""
 
         def run(texts: pa.Array) -> pa.Array:
-            return pa.array(self.probabilities(matches(texts, Landmarks(self.landmarks))), pa.float64())
+            return pa.array(self.probabilities(matcher(self.landmarks).matches(texts)), pa.float64())
 
         return F.arrow_udf(run, "double")(text)
 
@@ -281,7 +332,8 @@ def fit(
 
     def spelled(texts: pa.Array) -> pa.Array:
         out: list[set[str]] = [set() for _ in range(len(texts))]
-        found, token, owner = tokens(texts)
+        distinct, spelling, token, owner = tokens(texts)
+        found = [forms(spelling(i)) for i in range(len(distinct))]
         for t, o in zip(token.tolist(), owner.tolist()):
             out[o].update(found[t])
         return pa.array([sorted(s) for s in out], pa.list_(pa.string()))
@@ -298,7 +350,7 @@ def fit(
         return constant
 
     def described(texts: pa.Array) -> pa.Array:
-        return pa.array(list(matches(texts, Landmarks(words))), pa.list_(pa.float32()))
+        return pa.array(list(matcher(words).matches(texts)), pa.list_(pa.float32()))
 
     got = chosen.select("y", F.arrow_udf(described, "array<float>")("text").alias("x")).collect()
     x = np.array([r.x for r in got]).reshape(len(got), len(words))

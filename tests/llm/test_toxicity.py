@@ -31,7 +31,7 @@ def test_kernel_against_definition():
 
 def test_inserted_and_gapped_letters():
     texts = ["you idiot", "id-i-ot!", "i d i o t here", "an idxiot", "IDIOT", "lovely day", "", None, "z" * 5000]
-    best = toxicity.matches(pa.array(texts), toxicity.Landmarks(["idiot"]))[:, 0]
+    best = toxicity.Matcher(toxicity.Landmarks(["idiot"])).matches(pa.array(texts))[:, 0]
     assert (best[:5] > 0.55).all() and (best[5:] == 0).all()
 
 
