@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, licenses, lm, lzprint, near, pii, substrings, toxicity
+from . import bpe, contamination, licenses, lm, lzprint, near, pii, quality, substrings, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,21 @@ def op9_licenses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op9_licenses"] = licenses.SQL
+
+
+@query
+def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Grades: 0 poor, 1 good but toxic, 2 good. Held-out rows are not learnt from."""
+    docs = table(spark, folder, "documents")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    grade = F.col("quality") * (2 - F.coalesce("toxic", F.lit(0)))
+    ratings = table(spark, folder, "labels").where(~held_out).select("doc_id", grade.alias("grade"))
+    model = quality.fit(docs, ratings, grades=3)
+    found = docs.select("doc_id", held_out.alias("held_out"), model.tails(F.col("text")).alias("tails"))
+    return found.select(
+        "doc_id",
+        "held_out",
+        quality.expected_grade(F.col("tails")).alias("expected_grade"),
+        F.get("tails", F.lit(0)).alias("tail_probability"),
+        (F.get("tails", F.lit(0)) >= 0.5).alias("keep"),
+    )
