@@ -42,14 +42,22 @@ _PARTS = re.compile(r"[^\W_]+")
 _SYMBOLS = 64
 
 
-def _codes(words: list[str]) -> np.ndarray:
-    """Letters of words of one length as numbers below 64: a-z, 0-9, and the others dealt over what is left."""
-    o = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int32)
-    o = o.reshape(len(words), -1)
+def _letters(o: np.ndarray) -> np.ndarray:
+    """Code points as numbers below 64: a-z, 0-9, and the others dealt over what is left."""
+    o = o.astype(np.int32)
     letter, digit = (o >= 97) & (o <= 122), (o >= 48) & (o <= 57)
     return np.where(letter, o - 97, np.where(digit, o - 22, 36 + o * 7 % 28))
 
 
+def _points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _codes(words: list[str]) -> np.ndarray:
+    """Letters of words of one length."""
+    return _letters(_points("".join(words))).reshape(len(words), -1)
+
+
 def forms(token: str) -> list[str]:
     """The spellings of a token to compare: its letters and digits as one word, and each part.
 
@@ -121,32 +129,42 @@ class Landmarks:
     def values(self, found: list[str]) -> np.ndarray:
         """Normalised kernel of each word with each landmark; below `FLOOR` it is 0."""
         out = np.zeros((len(found), len(self.words)), np.float32)
-        if not self.words:
-            return out
         lengths = np.array([len(w) for w in found])
         for length in np.unique(lengths):
             rows = np.flatnonzero(lengths == length)
-            places, weight = _triples(int(length))
-            for part in np.array_split(rows, max(1, len(rows) * len(places) // 400_000)):
-                codes = _codes([found[r] for r in part])
-                slots = self.slot[_subsequences(codes)[0]]
-                # An upper bound: every subsequence at its largest weight in any landmark.
-                bound = self.most[slots] @ weight
-                near = np.flatnonzero(bound >= FLOOR * np.sqrt((weight**2).sum()))
-                norm = np.sqrt(self_kernel(codes[near]))
-                close = bound[near] >= FLOOR * norm
-                near, norm = near[close], norm[close]
-                hit = slots >= 0
-                for at in range(0, len(near), 400):
-                    some = near[at : at + 400]
-                    row, col = np.nonzero(hit[some])
-                    share = self.matrix[slots[some][row, col]] * weight[col, None].astype(np.float32)
-                    value = np.add.reduceat(share, np.searchsorted(row, np.arange(len(some))))
-                    value /= norm[at : at + 400, None]
-                    value[value < FLOOR] = 0
-                    out[part[some]] = value
+            near, value = self.near(_codes([found[r] for r in rows]))
+            out[rows[near]] = value
         return out
 
+    def near(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which words (of one length) a landmark is near, and their kernel values."""
+        none = np.zeros((0, len(self.words)), np.float32)
+        if not self.words or codes.shape[1] < 3:
+            return np.zeros(0, np.int64), none
+        places, weight = _triples(codes.shape[1])
+        step = max(1, 400_000 // len(places))
+        rows, values = [np.zeros(0, np.int64)], [none]
+        for begin in range(0, len(codes), step):
+            part = codes[begin : begin + step]
+            slots = self.slot[_subsequences(part)[0]]
+            # An upper bound: every subsequence at its largest weight in any landmark.
+            bound = self.most[slots] @ weight
+            near = np.flatnonzero(bound >= FLOOR * np.sqrt((weight**2).sum()))
+            norm = np.sqrt(self_kernel(part[near]))
+            close = bound[near] >= FLOOR * norm
+            near, norm = near[close], norm[close]
+            hit = slots[near] >= 0
+            for at in range(0, len(near), 400):
+                row, col = np.nonzero(hit[at : at + 400])
+                share = self.matrix[slots[near[at : at + 400]][row, col]] * weight[col, None].astype(np.float32)
+                value = np.add.reduceat(share, np.searchsorted(row, np.arange(len(near[at : at + 400]))))
+                value /= norm[at : at + 400, None]
+                value[value < FLOOR] = 0
+                some = value.any(axis=1)
+                rows.append(begin + near[at : at + 400][some])
+                values.append(value[some])
+        return np.concatenate(rows), np.concatenate(values)
+
 
 def tokens(texts: pa.Array) -> tuple[np.ndarray, list, np.ndarray, np.ndarray]:
     """Distinct tokens of a batch (hash, and bytes or where they are), and (token, text) of every occurrence."""
@@ -172,12 +190,19 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, list, np.ndarray, np.ndarray]:
     distinct, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
     n = len(found.hash)
 
-    def spelling(i: int) -> str:
-        k = first[i]
-        raw = found.data[found.start[k] : found.end[k]].tobytes() if k < n else extra[k - n][0]
-        return raw.decode("utf-8", "replace")
+    def spellings(chosen: np.ndarray) -> list[bytes]:
+        data = found.data.tobytes()
+        at = first[chosen].tolist()
+        return [data[found.start[k] : found.end[k]] if k < n else extra[k - n][0] for k in at]
+
+    return distinct, spellings, inverse, np.concatenate(owner)
+
 
-    return distinct, spelling, inverse, np.concatenate(owner)
+def _separates(o: np.ndarray) -> np.ndarray:
+    """Code points that are neither letters nor digits; beyond ASCII, those of the punctuation blocks."""
+    plain = ((o >= 97) & (o <= 122)) | ((o >= 48) & (o <= 57)) | ((o >= 65) & (o <= 90))
+    signs = (o >= 0x80) & (o < 0xC0) | (o >= 0x2000) & (o < 0x2070) | (o >= 0x3000) & (o < 0x3040)
+    return ~plain & ((o < 0x80) | signs)
 
 
 class Matcher:
@@ -188,31 +213,56 @@ class Matcher:
         self.far = np.zeros(0, np.uint64)  # words that match nothing, ascending
         self.near: dict[int, np.ndarray] = {}
 
-    def learn(self, hashes: np.ndarray, spellings: list[str]) -> None:
-        flat = [(f, i) for i, token in enumerate(spellings) for f in forms(token)]
-        value = np.zeros((len(spellings), len(self.landmarks.words)), np.float32)
+    def learn(self, hashes: np.ndarray, tokens: list[bytes]) -> None:
+        """Match words that have not been seen. Most are letters with signs at the ends only: these go by length."""
+        best: dict[int, np.ndarray] = {}
+
+        def note(rows: np.ndarray, values: np.ndarray) -> None:
+            for r, value in zip(rows.tolist(), values):
+                best[r] = np.maximum(best[r], value) if r in best else value
+
+        joined = b" ".join(tokens).decode("utf-8", "replace").lower()
+        points = np.append(_points(joined), np.uint32(32))
+        ends = np.flatnonzero(points == 32)
+        begins = np.append(0, ends[:-1] + 1)
+        keep = ~_separates(points)
+        keep[ends] = False
+        edge = np.diff(keep.astype(np.int8), prepend=0)
+        run_begin, run_end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        run_of = np.searchsorted(ends, run_begin)
+        runs = np.bincount(run_of, minlength=len(ends))
+        simple = (runs[run_of] == 1) & (run_end - run_begin <= LONGEST)
+        lengths = np.where(simple, run_end - run_begin, 0)
+        codes = _letters(points)
+        for length in np.unique(lengths[lengths >= 3]):
+            which = np.flatnonzero(lengths == length)
+            rows, values = self.landmarks.near(codes[run_begin[which][:, None] + np.arange(length)])
+            note(run_of[which[rows]], values)
+        odd = np.unique(run_of[~simple])
+        flat = [(f, i) for i in odd.tolist() for f in forms(joined[begins[i] : ends[i]])]
         if flat:
             values = self.landmarks.values([f for f, _ in flat])
             alive = np.flatnonzero(values.any(axis=1))
-            np.maximum.at(value, np.array([i for _, i in flat])[alive], values[alive])
-        alive = value.any(axis=1)
+            note(np.array([i for _, i in flat])[alive], values[alive])
         if len(self.far) > KNOWN or len(self.near) > KNOWN // 50:
             self.far, self.near = np.zeros(0, np.uint64), {}
+        alive = np.zeros(len(hashes), bool)
+        alive[list(best)] = True
         self.far = np.union1d(self.far, hashes[~alive])
-        self.near.update(zip(hashes[alive].tolist(), value[alive]))
+        self.near.update((int(hashes[r]), value) for r, value in best.items())
 
     def matches(self, texts: pa.Array) -> np.ndarray:
         """Best match of each text with each landmark."""
         best = np.zeros((len(texts), len(self.landmarks.words)), np.float32)
         for begin, end in W.slices(texts, 4 << 20):
-            distinct, spelling, token, owner = tokens(texts.slice(begin, end - begin))
+            distinct, spellings, token, owner = tokens(texts.slice(begin, end - begin))
             if not len(distinct):
                 continue
             far = _among(distinct, self.far)
             rest = np.flatnonzero(~far)
             unknown = [i for i in rest.tolist() if int(distinct[i]) not in self.near]
             if unknown:
-                self.learn(distinct[unknown], [spelling(i) for i in unknown])
+                self.learn(distinct[unknown], spellings(np.array(unknown)))
             rows = [i for i in rest.tolist() if int(distinct[i]) in self.near]
             if not rows:
                 continue
@@ -332,8 +382,8 @@ def fit(
 
     def spelled(texts: pa.Array) -> pa.Array:
         out: list[set[str]] = [set() for _ in range(len(texts))]
-        distinct, spelling, token, owner = tokens(texts)
-        found = [forms(spelling(i)) for i in range(len(distinct))]
+        distinct, spellings, token, owner = tokens(texts)
+        found = [forms(t.decode("utf-8", "replace")) for t in spellings(np.arange(len(distinct)))]
         for t, o in zip(token.tolist(), owner.tolist()):
             out[o].update(found[t])
         return pa.array([sorted(s) for s in out], pa.list_(pa.string()))

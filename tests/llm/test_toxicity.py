@@ -35,6 +35,18 @@ def test_inserted_and_gapped_letters():
     assert (best[:5] > 0.55).all() and (best[5:] == 0).all()
 
 
+def test_words_in_bulk_match_like_words_alone():
+    """Plain words, odd spellings and long runs: learnt together they get what each form alone gets."""
+    rng = random.Random(9)
+    marks = toxicity.Landmarks(["abcde", "ñandú", "cab9"])
+    words = ["".join(rng.choice("abcde9ñúÑ.,-'“–") for _ in range(rng.randint(1, 30))) for _ in range(400)]
+    got = toxicity.Matcher(marks).matches(pa.array(words))
+    for w, row in zip(words, got):
+        forms = toxicity.forms(w)
+        want = marks.values(forms).max(axis=0) if forms else np.zeros(3)
+        assert row == pytest.approx(want, abs=1e-5), w
+
+
 def sample(rng, hot):
     words = ["".join(rng.choice("bdelnorstu") for _ in range(rng.randint(3, 8))) for _ in range(rng.randint(3, 60))]
     if hot:
