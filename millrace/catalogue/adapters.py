@@ -44,16 +44,6 @@ class Model:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def spread(self, rows: DataFrame) -> DataFrame:
-        """Deal out the rows of a file that cannot be split (one row group is one task).
-
-        For work that costs much per row, such as parsing documents, and only where the scan has
-        fewer splits than the cluster has cores; a large table never has. Filters and column
-        pruning still reach the scan.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
-
     # --- master data -------------------------------------------------------------------------
 
     @cached_property
@@ -360,14 +350,14 @@ class Model:
             "cast(value AS decimal(15,4)) AS exposure",
         )
 
-    def _monthly_quantity(self, day: str, where: str, name: str) -> DataFrame:
+    def _monthly_quantity(self, day: str, name: str) -> DataFrame:
         lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_shipdate")
         if day == "o_orderdate":
             heads = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
             lines = lines.join(heads, "l_orderkey")
         month = F.trunc(F.col(day).cast("date"), "MM").alias("period_month")
         quantity = F.col("l_quantity").cast("decimal(15,4)")
-        per_part = lines.where(where).groupBy("l_partkey", month).agg(F.sum(quantity).alias("q"))
+        per_part = lines.groupBy("l_partkey", month).agg(F.sum(quantity).alias("q"))
         brands = self.table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("product_group"))
         return per_part.join(brands, "l_partkey").groupBy("product_group", "period_month").agg(
             F.sum("q").cast("decimal(15,4)").alias(name)
@@ -375,7 +365,7 @@ class Model:
 
     @cached_property
     def plans(self) -> DataFrame:
-        rows = self._monthly_quantity("o_orderdate", "year(o_orderdate) <= 1999", "planned_qty")
+        rows = self._monthly_quantity("o_orderdate", "planned_qty")
         return rows.withColumns(
             {
                 "confidence_low": (F.col("planned_qty") - 5).cast("decimal(15,4)"),
@@ -385,7 +375,7 @@ class Model:
 
     @cached_property
     def forecasts(self) -> DataFrame:
-        rows = self._monthly_quantity("l_shipdate", "year(l_shipdate) >= 1997", "forecast_qty")
+        rows = self._monthly_quantity("l_shipdate", "forecast_qty")
         return rows.withColumns(
             {
                 "lower_bound": (F.col("forecast_qty") - 3).cast("decimal(15,4)"),

@@ -46,10 +46,10 @@ _ID = {
 def raw_events(model: Model, feed: Feed) -> DataFrame:
     """The feed's documents in the raw event layout."""
     if feed.base == "lineorder":
-        lines = model.spread(model.table("lineitem"))
+        lines = model.table("lineitem")
         base = lines.join(model.table("orders"), F.expr("l_orderkey = o_orderkey"))
     else:
-        base = model.spread(model.table(feed.base))
+        base = model.table(feed.base)
     row_id = _ID[feed.base]
     return base.where(feed.where).selectExpr(
         f"concat({feed.event_type}, ':', {row_id}) AS raw_event_key",

@@ -551,9 +551,9 @@ def _stream_ingest(m: Model) -> DataFrame:
     rows = m.table("events").select("user_id", "event_type", "event_id", "value")
     return stream_latest(
         m.spark,
-        m.folder,
+        f"{m.folder}/[e]vents.parquet",  # as a pattern it names a file and a folder of files alike
         rows.schema,
-        glob="events.parquet",
+        glob="*.parquet",
         keys=["user_id", "event_type"],
         seq=["event_id"],
     )

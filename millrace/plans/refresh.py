@@ -105,7 +105,8 @@ class Refresh:
     # --- gold ----------------------------------------------------------------------------------
 
     def dimensions(self, master_dir: str, batch: int) -> dict[str, DataFrame]:
-        m = master.read_all(self.spark, master_dir)
+        master.store_all(self.store, master_dir, batch)
+        m = {name: master.stored(self.store, name) for name in master.SCHEMAS}
         changes = self.staged("master_data_changes")
         h = self.horizon
         plans = {
@@ -169,6 +170,7 @@ class Refresh:
             "fact_payments": "payments",
             "fact_credit_events": "credit_events",
             "fact_returns": "return_lines",
+            "fact_shipments": "loads",
         }
         return [
             (f"{fact}:unmatched", self.staged(staged).count() - t[fact].count(), None)

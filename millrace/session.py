@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,11 +42,11 @@ def build_session(app: str = "millrace", master: str | None = None, **extra: str
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder.
+    """A fresh folder that all executors share.
 
-    Only where the cluster names none (local runs and tests) a temporary folder stands in.
+    It lies under the checkpoint folder the cluster names; where none is named, under the warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="millrace-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

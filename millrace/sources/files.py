@@ -24,10 +24,8 @@ SOURCES = "adm|erp|forecast|tms"
 FOLDERS = r"\d{4}-\d{2}(-\d{2})?|demand_signals"
 SIGNAL_DATE = r"^SIG-(\d{8})-"
 
-# A single variant value has a size limit far below a file's; longer files are cut into their
-# elements as text first.
-VARIANT_TEXT_LIMIT = 8 * 1024 * 1024
-MAX_FILE_BYTES = 2_000_000_000
+# Spark's own limit for one binary value; a longer file cannot be read as one row.
+LONGEST_VALUE = 2**31 - 1
 
 
 def _reader(spark: SparkSession, streaming: bool):
@@ -40,18 +38,27 @@ def discover(spark: SparkSession, root: str, streaming: bool = False) -> DataFra
     reader = _reader(spark, streaming)
     if streaming:
         reader = reader.schema("path string, modificationTime timestamp, length bigint, content binary")
-    base = root.rstrip("/")
-    wanted = rf"\Q{base}\E/({SOURCES})/({FOLDERS})/[^/]+\.json$"
-    return reader.load(root).where(F.col("path").rlike(wanted))
+    base = qualified(spark, root)
+    wanted = rf"^\Q{base}\E/({SOURCES})/({FOLDERS})/[^/]+\.json$"
+    return reader.load(base).where(F.col("path").rlike(wanted))
+
+
+def qualified(spark: SparkSession, root: str) -> str:
+    """The root as Spark itself writes it in file paths: with scheme and host, without `.` or doubled slashes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        raise FileNotFoundError(f"no such folder: {root}")
+    return system.resolvePath(path).toString().rstrip("/")
 
 
 def _readable(files: DataFrame) -> DataFrame:
-    return files.where(F.col("length") <= MAX_FILE_BYTES)
+    return files.where(F.col("length") <= LONGEST_VALUE)
 
 
 def _oversized(files: DataFrame) -> DataFrame:
     """Files longer than one row can hold; their contents are not read."""
-    too_long = files.where(F.col("length") > MAX_FILE_BYTES).drop("content")
+    too_long = files.where(F.col("length") > LONGEST_VALUE).drop("content")
     return too_long.withColumn("content", F.lit(None).cast("binary"))
 
 
@@ -76,21 +83,16 @@ def _elements(body: Column) -> Column:
     """Canonical text of each record; NULL (or a NULL inside) where the file cannot be read.
 
     JSON readers stop at the end of the first document. The body is read as the only element of an
-    array, so that anything after the document makes it unreadable instead of being lost.
+    array, so that anything after the document makes it unreadable instead of being lost. Records
+    become variants one by one, so a file may be far longer than one variant.
     """
     head = F.substring(F.ltrim(body, F.lit(" \t\r\n")), 1, 1)
     wrapped = F.concat(F.lit("["), body, F.lit("]"))
-    parts = F.try_variant_get(p.parsed(wrapped), "$", "array<variant>")
-    whole = F.when(F.size(parts) == 1, F.get(parts, F.lit(0)))
-    nested = F.from_json(wrapped, "array<array<string>>")
-    pieces = F.when(F.size(nested) == 1, F.get(nested, F.lit(0)))
-    small = F.length(body) <= VARIANT_TEXT_LIMIT
-    records = F.try_variant_get(whole, "$", "array<variant>")
-    return (
-        F.when((head == "[") & small, F.transform(records, lambda v: F.to_json(v)))
-        .when(head == "[", F.transform(pieces, lambda t: F.to_json(F.try_parse_json(t))))
-        .when(head == "{", F.array(p.canonical(whole)))
-    )
+    nested = F.from_json(wrapped, "array<array<variant>>")
+    single = F.from_json(wrapped, "array<variant>")
+    return F.when(
+        (head == "[") & (F.size(nested) == 1), F.transform(F.get(nested, F.lit(0)), lambda v: F.to_json(v))
+    ).when((head == "{") & (F.size(single) == 1), F.array(p.canonical(F.get(single, F.lit(0)))))
 
 
 def parse(files: DataFrame) -> DataFrame:

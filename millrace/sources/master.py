@@ -4,6 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..operators import upsert_latest
+from .store import Store
+
+# The fields of the four input files, their keys, and which fields are nested.
 SCHEMAS = {
     "carriers": """code string, name string, base_reliability decimal(10,6), transit_days_min int,
         transit_days_max int, cost_tier string, primary_use string, weight_unit string""",
@@ -24,8 +28,12 @@ NESTED = ["primary_address", "secondary_address", "ordering_profile", "seasonal_
 
 
 def read_master(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One master file; nested customer fields become JSON text, a repeated key keeps one row."""
-    rows = spark.read.schema(SCHEMAS[name]).option("multiLine", "true").json(f"{folder.rstrip('/')}/{name}.json")
+    """One master file; nested customer fields become JSON text, a repeated key keeps one row.
+
+    A file that is cut short or has a value of the wrong type raises an error.
+    """
+    reader = spark.read.schema(SCHEMAS[name]).option("multiLine", "true").option("mode", "FAILFAST")
+    rows = reader.json(f"{folder.rstrip('/')}/{name}.json")
     if name == "customers":
         texts = {c: F.when(~F.is_variant_null(c), F.to_json(F.col(c))) for c in NESTED}
         rows = rows.withColumns(texts)
@@ -39,3 +47,22 @@ def read_master(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def read_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_master(spark, folder, name) for name in SCHEMAS}
+
+
+def store_all(store: Store, folder: str, batch: int) -> None:
+    """Take in one delivery of the four files. Nothing is stored unless all four can be read."""
+    number = F.lit(batch).cast("bigint")
+    delivery = {name: rows.withColumn("delivery", number) for name, rows in read_all(store.spark, folder).items()}
+    for rows in delivery.values():
+        rows.write.format("noop").mode("overwrite").save()
+    for name, rows in delivery.items():
+        store.add_batch(f"master_{name}", rows, batch)
+
+
+def stored(store: Store, name: str) -> DataFrame:
+    """A master table over all deliveries: the newest row of each key. A key that a later file lacks stays."""
+    return newest(store.rows(f"master_{name}"), name)
+
+
+def newest(rows: DataFrame, name: str) -> DataFrame:
+    return upsert_latest(None, rows, [KEYS[name]], [F.col("delivery")]).drop("delivery")

@@ -9,11 +9,12 @@ from millrace.session import build_session
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "millrace-tests",
         "local[8]",
         **{
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",

@@ -283,21 +283,46 @@ def test_streamed_files_equal_ingested_files(spark, tmp_path):
     assert len(seen) == 1
 
 
-def test_large_files_take_the_element_path(spark, tmp_path, monkeypatch):
-    rows = [{"event_id": f"E{i % 50}", "note": "ż" * (i % 3), "n": i % 50} for i in range(300)]
-    put(tmp_path / "data", "erp/2026-01-06/payments.json", rows)
-    put(tmp_path / "data", "erp/2026-01-06/broken.json", json.dumps(rows)[:-5])
-    small = pick(files.parse(files.discover(spark, str(tmp_path / "data"))), "file_path", "pos", "payload", "reason")
-    monkeypatch.setattr(files, "VARIANT_TEXT_LIMIT", 10)
-    large = pick(files.parse(files.discover(spark, str(tmp_path / "data"))), "file_path", "pos", "payload", "reason")
-    assert small == large
-    assert len(small) == 150 + 1
+def test_records_do_not_depend_on_the_size_of_the_file(spark, tmp_path):
+    """The same awkward records alone and in a file beyond the limit of one variant."""
+    odd = ['"x"', '{"a":1}', "1e3", "12345678901234567890123456789.123", "null", "[1]", '{"b":1,"a":2}']
+    filler = json.dumps({"note": "y" * (9 << 20)})
+    texts = {
+        "small": f"[{','.join(odd)}]",
+        "large": f"[{','.join([*odd, filler])}]",
+        "quotes": "[{'a':1}]",
+        "largequotes": "[{'a':1}," + filler + "]",
+        "trailing": '[{"a":1}] x',
+        "largetrailing": f"[{filler}] x",
+        "two": "[1],[2]",
+    }
+    folder = tmp_path / "data/erp/2026-01-06"
+    folder.mkdir(parents=True)
+    for name, text in texts.items():
+        (folder / f"{name}.json").write_text(text)
+    found = files.parse(files.discover(spark, str(tmp_path / "data"))).where("payload is null or length(payload) < 1000")
+    rows = found.select("event_type", "pos", "payload", "reason").collect()
+    by_name = {n: sorted((r.pos, r.payload) for r in rows if r.event_type == n) for n in texts}
+    assert by_name["small"] == by_name["large"] and len(by_name["small"]) == len(odd)
+    reasons = {n: {r.reason for r in rows if r.event_type == n} for n in texts}
+    assert reasons["quotes"] == reasons["largequotes"] and reasons["trailing"] == reasons["largetrailing"]
+    assert reasons["two"] == {"unreadable JSON"} == reasons["trailing"]
+
+
+def test_roots_may_be_written_in_any_way(spark, tmp_path, monkeypatch):
+    put(tmp_path / "data", "erp/2026-01-06/payments.json", [{"event_id": "E1"}])
+    monkeypatch.chdir(tmp_path)
+    plain = str(tmp_path / "data")
+    for root in (plain, f"file://{plain}", f"file:{plain}", f"{plain}/", f"{tmp_path}//data", f"{tmp_path}/./data"):
+        assert files.discover(spark, root).count() == 1, root
+    with pytest.raises(FileNotFoundError):
+        files.discover(spark, str(tmp_path / "nowhere"))
 
 
 def test_oversized_files_are_reported_and_the_rest_goes_on(spark, tmp_path, monkeypatch):
     put(tmp_path / "data", "erp/2026-01-06/payments.json", [{"event_id": "E1"}])
     put(tmp_path / "data", "erp/2026-01-07/payments.json", [{"event_id": "x" * 500}])
-    monkeypatch.setattr(files, "MAX_FILE_BYTES", 100)
+    monkeypatch.setattr(files, "LONGEST_VALUE", 100)
     store = Store(spark, str(tmp_path / "store"))
     for run in (1, 2):
         files.ingest(store, str(tmp_path / "data"))
@@ -313,3 +338,22 @@ def test_master_files(spark, tmp_path):
     row = read_master(spark, str(tmp_path), "customers").first()
     assert (row.primary_address, row.shutdown_months, row.seasonal_profile) == ('{"city":"X"}', "[7]", None)
     assert read_master(spark, str(tmp_path), "catalog").first().valve_type == "ball"
+
+
+def test_masters_keep_what_a_later_file_lacks_and_reject_a_broken_one(spark, tmp_path):
+    from millrace.sources import master
+
+    store = Store(spark, str(tmp_path / "store"))
+    master_tree(tmp_path / "m")
+    master.store_all(store, str(tmp_path / "m"), 1)
+    before = {r.code for r in master.stored(store, "carriers").collect()}
+    carriers = next((tmp_path / "m").rglob("carriers.json"))
+    rows = json.loads(carriers.read_text())
+    folder = str(carriers.parent)
+    carriers.write_text(json.dumps([{**rows[0], "code": "NEW"}]))
+    master.store_all(store, folder, 2)
+    assert {r.code for r in master.stored(store, "carriers").collect()} == before | {"NEW"}
+    carriers.write_text(json.dumps(rows)[:-9])
+    with pytest.raises(Exception):
+        master.store_all(store, folder, 3)
+    assert {r.code for r in master.stored(store, "carriers").collect()} == before | {"NEW"}
