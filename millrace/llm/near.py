@@ -37,7 +37,7 @@ from . import words as W
 from .common import content_key, fresh, prepare, stored
 from .components import components
 
-SKETCHES, PICKS, PIVOTS, CELLS = 24, 4, 2, 1024
+SKETCHES, PICKS, PIVOTS, CELLS = 24, 4, 4, 1024
 PARITY = [f"parity_{k}" for k in range(CELLS // 64)]
 NODE = ["key_a", "key_b"]
 
@@ -245,10 +245,13 @@ def classes(
     placed = shared.select("bucket", "node").join(parts, "node", "left")
     placed = placed.select("bucket", "node", F.coalesce("root", "node").alias("root"))
     mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    left = stored(placed.join(mixed, "bucket", "left_semi").join(facts, "node"), "mixed")
+    left = placed.join(mixed, "bucket", "left_semi").join(nodes.select("node", "n", "sketch", *PARITY), "node")
+    left = stored(left, "mixed")
     apart = (F.col("a.root") != F.col("b.root")) & (F.col("a.node") < F.col("b.node"))
+    # A pair meets in every bucket the two share; it is taken in the least one.
+    here = F.col("a.bucket") == F.array_min(F.array_intersect("a.sketch", "b.sketch"))
     rest = left.alias("a").join(
-        left.alias("b"), (F.col("a.bucket") == F.col("b.bucket")) & apart & _possible("a", "b", threshold)
+        left.alias("b"), (F.col("a.bucket") == F.col("b.bucket")) & apart & _possible("a", "b", threshold) & here
     )
     rest = rest.select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.root").alias("ru"), F.col("b.root").alias("rv"))
     rest = rest.distinct().join(stars, ["u", "v"], "left_anti")
