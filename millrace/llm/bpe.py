@@ -25,7 +25,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 500_000
 CACHED_BYTES = 48
 CACHED_PAIRS = 500_000
 # One bitmap word has 32 bits; Python's integers hold the summary whole.
