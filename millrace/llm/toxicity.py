@@ -37,6 +37,7 @@ from .common import prepare
 DECAY, FLOOR, SHARP, LONGEST = 0.6, 0.5, 8, 20
 ROWS, LANDMARKS, COMMON = 4000, 160, 8
 KNOWN = 3_000_000  # words a worker remembers
+TELLING = 24.0  # how clearly a word must lean to label 1 to become a landmark
 
 _PARTS = re.compile(r"[^\W_]+")
 _SYMBOLS = 64
@@ -244,8 +245,10 @@ class Matcher:
             values = self.landmarks.values([f for f, _ in flat])
             alive = np.flatnonzero(values.any(axis=1))
             note(np.array([i for _, i in flat])[alive], values[alive])
-        if len(self.far) > KNOWN or len(self.near) > KNOWN // 50:
-            self.far, self.near = np.zeros(0, np.uint64), {}
+        if len(self.far) > KNOWN:
+            self.far = np.zeros(0, np.uint64)
+        if len(self.near) > KNOWN // 30:
+            self.near = {}
         alive = np.zeros(len(hashes), bool)
         alive[list(best)] = True
         self.far = np.union1d(self.far, hashes[~alive])
@@ -390,11 +393,14 @@ def fit(
 
     counts = chosen.select("y", F.explode(F.arrow_udf(spelled, "array<string>")("text")).alias("word"))
     counts = counts.groupBy("word").agg(F.sum("y").alias("hot"), F.sum(1 - F.col("y")).alias("cold"))
-    n_hot, n_cold = float(max(1, positive)), float(max(1, len(ids) - positive))
-    rate_hot, rate_cold = (F.col("hot") + 0.5) / n_hot, (F.col("cold") + 0.5) / n_cold
-    telling = F.log(rate_hot / rate_cold) * F.sqrt("hot")
-    common = (F.col("hot") + F.col("cold")).alias("n")
-    words = [r.word for r in counts.where("hot >= 3").orderBy(telling.desc(), "word").limit(landmarks).collect()]
+    n_hot, n_cold = float(positive), float(len(ids) - positive)
+    common = F.col("hot") + F.col("cold")
+    # Likelihood ratio of "as frequent in both": far above what chance gives the best of very many words.
+    even_hot, even_cold = common * (n_hot / (n_hot + n_cold)), common * (n_cold / (n_hot + n_cold))
+    telling = 2 * (F.col("hot") * F.log(F.greatest("hot", F.lit(1)) / even_hot)
+                   + F.col("cold") * F.log(F.greatest("cold", F.lit(1)) / even_cold))
+    chosen_words = counts.where((F.col("hot") > even_hot) & (telling >= TELLING))
+    words = [r.word for r in chosen_words.orderBy(telling.desc(), "word").limit(landmarks).collect()]
     words += [r.word for r in counts.orderBy(common.desc(), "word").limit(COMMON).collect() if r.word not in words]
     if not words:
         return constant
