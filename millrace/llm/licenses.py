@@ -12,7 +12,7 @@ candidate. With J the overlap of a window's kept shingles and a template, it is
 `threshold` of the template's distinct shingles.
 
 Equal texts are looked at once each, by 96 bits that stand for a text. No list is longer than a window. The shingles
-of the templates meet those of the texts in an ordinary join, which Spark broadcasts while they are small.
+of the templates are counted; up to `SENT` they are broadcast to those of the texts, beyond that both are shuffled.
 
 Defined results: null and empty texts have no words and no matches; a template of fewer than five words has no
 shingle and is never found. Every row keeps its row, repeated ones too. Templates with one id are told apart by text.
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import content_key, prepare
 
 SIZE, BANDS, ROWS, LEAST_REACH = 5, 40, 1, 4
+SENT = 50_000  # template shingles up to which they are broadcast
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -110,15 +111,19 @@ def scan(
     ).where(F.size("parts") > 0)
     reach = F.greatest(F.lit(LEAST_REACH), F.pow(2, F.ceil(F.log2(F.size("parts")) - 1e-9)).cast("int"))
     wanted = wanted.distinct().select("template", "parts", reach.alias("reach"))
-    known = wanted.select(F.explode("parts").alias("shingle")).distinct()
+    # Sent to the executors while it is small, which is counted first; joined by a shuffle beyond that.
+    total = wanted.agg(F.sum(F.size("parts")).alias("n")).first().n or 0
+    near = F.broadcast if total <= SENT else lambda table: table
+    known = wanted.select(F.explode("parts").alias("shingle"), "reach").groupBy("shingle")
+    known = known.agg(F.collect_set("reach").alias("reaches"))
 
     text = F.col(text_col).cast("string")
     texts = docs.select(*content_key(text), shingle_hashes(text, size).alias("all"))
-    hits = texts.select("key_a", "key_b", F.posexplode("all").alias("place", "shingle")).join(known, "shingle")
-    hits = hits.select("key_a", "key_b", "place", "shingle").distinct()
+    hits = texts.select("key_a", "key_b", F.posexplode("all").alias("place", "shingle")).join(near(known), "shingle")
+    hits = hits.dropDuplicates(["key_a", "key_b", "place"])
 
     # The window that begins at the reach's multiple before a shingle, and the one before that.
-    inside = hits.join(wanted.select("reach").distinct())
+    inside = hits.select("key_a", "key_b", "place", "shingle", F.explode("reaches").alias("reach"))
     at = F.floor(F.col("place") / F.col("reach"))
     inside = inside.withColumn("window", F.explode(F.array(at - 1, at))).where("window >= 0")
     windows = inside.groupBy("key_a", "key_b", "reach", "window").agg(
@@ -126,7 +131,7 @@ def scan(
     )
     ours = windows.withColumn("band", F.explode(_bands("kept", bands, rows)))
     theirs = wanted.withColumn("band", F.explode(_bands("parts", bands, rows)))
-    pairs = ours.join(theirs, ["reach", "band"])
+    pairs = ours.join(near(theirs), ["reach", "band"])
     common = F.size(F.array_intersect("kept", "parts"))
     pairs = pairs.where(common >= F.lit(threshold - 1e-9) * F.size("parts"))
     places = F.transform(
