@@ -154,7 +154,8 @@ def fit(
     wanted = labels.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
     wanted = wanted.agg(F.max(label).alias("label")).where("label > 0").select("id", F.lit(True).alias("wanted"))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.join(wanted, "id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+    # Always by a shuffle of both sides, so that the plan is the same for few labels and for many.
+    rows = rows.join(wanted.hint("merge"), "id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
     found = bigram_counts(rows, words).toArrow()
     bigrams, n, n_wanted = (found.column(c).to_numpy() for c in ("bigram", "n", "n_wanted"))
     second = np.bincount(bigrams % words.size, n, words.size) + 0.5
