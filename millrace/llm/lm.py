@@ -1,17 +1,23 @@
 """Documents scored by cross-entropy difference between a target and a background language model.
 
-Both models are word bigram models over one vocabulary: the most frequent words of all documents, and classes (by
-length and first letter) for the others. The background model counts all documents, the target model those that
-are labelled as wanted. Bigram chances are smoothed towards the model's own word chances, and these towards
-the word chances of all documents, with the same strengths in both. A document's score is its mean loss per token
-under the target model minus that under the background model: the lower, the more it is like the target.
+Both models are word bigram models over one vocabulary: all words of all documents. The background model counts all
+documents, the target model those that are labelled as wanted. Bigram chances are smoothed towards the model's own
+word chances, and these towards the word chances of all documents, with the same strengths in both. A document's
+score is its mean loss per token under the target model minus that under the background model: the lower, the more
+it is like the target.
 
-Counts cover every document. They are summed within tasks first and shuffled by word or bigram. The vocabulary
-has a fixed size, so the bigram tables that scoring needs have at most `VOCABULARY` squared entries whatever the
-input; they are sent to the executors once.
+Counts cover every document and every word; words and pairs of words are told apart by 64-bit hashes. Pairs are summed
+within tasks first, shuffled, and stored as a table, so what is gathered grows with the corpus and nothing of it is on
+the driver. Each pair's losses come from joins of its count with those of its two words. To score, each text's pairs
+meet their losses in a join and are summed by the text's key. Losses are summed in fixed point (steps of 2^-24), so that
+the order of rows does not matter.
+
+Only if a caller gives `size`, the vocabulary is the most frequent words, and classes (by length and first letter) stand
+for the others.
 
 Defined results: null and empty texts have no tokens and null losses. Without any wanted document the target
-model is the smoothing alone. Labels of one id are merged by their maximum; null ids are never wanted.
+model is the smoothing alone. Labels of one id are merged by their maximum; null ids are never wanted. Words and pairs
+that were not counted have the chance that smoothing leaves them.
 """
 
 from __future__ import annotations
@@ -21,28 +27,32 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import words as W
-from .common import prepare
+from .common import content_key, prepare, stored
 
-VOCABULARY = 2048
 CLASSES = 32
 FLUSH = 500_000
+PAIRS = 1_500_000  # pairs that a task holds before it passes them on
 BIGRAM_PULL, WORD_PULL = 50.0, 500.0
+STEP = 1 << 24
 
 
 @dataclass
 class Vocabulary:
-    """Sorted hashes of the words that have a number of their own; the start of a text is number 0."""
+    """Sorted hashes of the words that have a number of their own, or None if all have; a text's start is number 0."""
 
-    hashes: np.ndarray
+    hashes: np.ndarray | None
+    seen: int = 0  # words of their own where there is no list
 
     @property
     def size(self) -> int:
-        return 1 + CLASSES + len(self.hashes)
+        return 1 + CLASSES + (self.seen if self.hashes is None else len(self.hashes))
 
     def numbers(self, found: W.Words) -> np.ndarray:
+        if self.hashes is None:
+            return found.hash.view(np.int64)
         at = np.minimum(np.searchsorted(self.hashes, found.hash), max(0, len(self.hashes) - 1))
         known = self.hashes[at] == found.hash if len(self.hashes) else np.zeros(len(found.hash), bool)
         length = np.minimum(np.log2(found.end - found.start).astype(np.int64), 7) if len(known) else at
@@ -77,67 +87,89 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield merged()
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text", size: int = VOCABULARY) -> Vocabulary:
-    """The most frequent words of all documents (ties by hash), as many as fit beside the classes."""
+def vocabulary(docs: DataFrame, text_col: str = "text", size: int | None = None) -> Vocabulary:
+    """All words, or the most frequent of all documents (ties by hash), as many as fit beside the classes."""
+    if size is None:
+        return Vocabulary(None)
     counts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(_word_counts, "hash bigint, n bigint")
     counts = counts.groupBy("hash").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.col("n").desc(), "hash").limit(max(0, size - 1 - CLASSES)).collect()
     return Vocabulary(np.sort(np.array([r.hash for r in top], np.int64).view(np.uint64)))
 
 
-def _bigrams(found: W.Words, words: Vocabulary) -> np.ndarray:
-    """Number of each word together with the word before it; 0 stands before the first."""
+def _pairs(found: W.Words, words: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the word before each word, and its own; 0 stands before the first."""
     own = words.numbers(found)
     before = np.zeros_like(own)
     before[1:] = own[:-1]
     before[found.first[:-1][np.diff(found.first) > 0]] = 0
-    return before * words.size + own
+    return before, own
+
+
+def _hashed(before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return W.joined(before.view(np.uint64), own.view(np.uint64))
 
 
-def bigram_counts(rows: DataFrame, words: Vocabulary) -> DataFrame:
-    """rows: text, wanted. Per bigram its count in all documents and in the wanted ones."""
-    shared = rows.sparkSession.sparkContext.broadcast(words)
+def pair_counts(rows: DataFrame, words: Vocabulary) -> DataFrame:
+    """rows: text, wanted. Per pair of words its count in all documents and in the wanted ones."""
+    names = ["before", "own", "n", "n_wanted"]
+
+    def summed(parts: list[list[np.ndarray]]) -> list[np.ndarray]:
+        before, own, *counts = (np.concatenate(c) for c in zip(*parts))
+        _, at, inverse = np.unique(_hashed(before, own), return_index=True, return_inverse=True)
+        return [before[at], own[at], *(np.bincount(inverse, c, len(at)).astype(np.int64) for c in counts)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        size = shared.value.size**2
-        total = np.zeros((2, size), np.int32)
-        used = False
+        held, size = [], 0
         for batch in batches:
-            used = True
-            wanted = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            wanted = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
             for begin, end in W.slices(batch.column(0)):
                 found = W.find(batch.column(0).slice(begin, end - begin))
-                pairs = _bigrams(found, shared.value)
-                np.add.at(total[0], pairs, 1)
-                np.add.at(total[1], pairs[wanted[begin:end][found.text_of()]], 1)
-        if used:
-            seen = np.flatnonzero(total[0])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(seen.astype(np.int64)), *(pa.array(t[seen].astype(np.int64)) for t in total)],
-                names=["bigram", "n", "n_wanted"],
-            )
-
-    parts = rows.select("text", "wanted").mapInArrow(count, "bigram bigint, n bigint, n_wanted bigint")
-    return parts.groupBy("bigram").agg(F.sum("n").alias("n"), F.sum("n_wanted").alias("n_wanted"))
-
-
-def losses(bigrams: np.ndarray, counts: np.ndarray, everywhere: np.ndarray, size: int) -> np.ndarray:
-    """Loss (in nats) of each second word after each first one; a table of size x size."""
-    table = np.zeros(size * size, np.float64)
-    table[bigrams] = counts
-    table = table.reshape(size, size)
-    word = table.sum(axis=0)
-    word = (word + WORD_PULL * everywhere) / (word.sum() + WORD_PULL)
-    table += BIGRAM_PULL * word
-    table /= table.sum(axis=1, keepdims=True)
-    return -np.log(table).astype(np.float32)
+                ones = np.ones(len(found.hash), np.int64)
+                held.append(summed([[*_pairs(found, words), ones, wanted[begin:end][found.text_of()]]]))
+                size += len(held[-1][0])
+                if size > PAIRS:
+                    held = [summed(held)]
+                    size = len(held[0][0])
+                    if size > PAIRS // 2:
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in held[0]], names=names)
+                        held, size = [], 0
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in summed(held)], names=names)
+
+    parts = rows.select("text", "wanted").mapInArrow(count, "before bigint, own bigint, n bigint, n_wanted bigint")
+    return parts.groupBy("before", "own").agg(F.sum("n").alias("n"), F.sum("n_wanted").alias("n_wanted"))
 
 
 @dataclass
 class Models:
     words: Vocabulary
-    target: np.ndarray  # loss of each bigram
-    background: np.ndarray
+    pairs: DataFrame  # before, own, n, n_wanted
+    singles: DataFrame  # own, n, n_wanted
+    tokens: int
+    wanted_tokens: int
+
+    def losses(self, pairs: DataFrame) -> DataFrame:
+        """Of each pair in a table like `pairs`: its key and its losses in steps of the fixed point."""
+        own = self.singles.select("own", F.col("n").alias("own_n"), F.col("n_wanted").alias("own_wanted"))
+        first = self.pairs.groupBy("before").agg(F.sum("n").alias("first_n"), F.sum("n_wanted").alias("first_wanted"))
+        rows = pairs.join(own, "own", "left").join(first, "before", "left")
+        everywhere = (_or_none("own_n") + 0.5) / F.lit(self.tokens + 0.5 * self.words.size)
+
+        def loss(n: str, single: str, context: str, tokens: int) -> Column:
+            word = (_or_none(single) + WORD_PULL * everywhere) / F.lit(tokens + WORD_PULL)
+            chance = (F.col(n) + BIGRAM_PULL * word) / (_or_none(context) + BIGRAM_PULL)
+            return F.round(-F.log(chance) * STEP).cast("bigint")
+
+        return rows.select(
+            F.xxhash64("before", "own").alias("pair"),
+            loss("n_wanted", "own_wanted", "first_wanted", self.wanted_tokens).alias("target"),
+            loss("n", "own_n", "first_n", self.tokens).alias("background"),
+        )
+
+
+def _or_none(column: str) -> Column:
+    return F.coalesce(F.col(column), F.lit(0))
 
 
 def fit(
@@ -146,7 +178,7 @@ def fit(
     label: str = "quality",
     id_col: str = "doc_id",
     text_col: str = "text",
-    size: int = VOCABULARY,
+    size: int | None = None,
 ) -> Models:
     """Count both models. Documents whose label is above 0 are the target; all documents are the background."""
     prepare(docs.sparkSession)
@@ -156,43 +188,66 @@ def fit(
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     # Always by a shuffle of both sides, so that the plan is the same for few labels and for many.
     rows = rows.join(wanted.hint("merge"), "id", "left").select("text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
-    found = bigram_counts(rows, words).toArrow()
-    bigrams, n, n_wanted = (found.column(c).to_numpy() for c in ("bigram", "n", "n_wanted"))
-    second = np.bincount(bigrams % words.size, n, words.size) + 0.5
-    everywhere = second / second.sum()
-    return Models(
-        words, losses(bigrams, n_wanted, everywhere, words.size), losses(bigrams, n, everywhere, words.size)
-    )
+    pairs = stored(pair_counts(rows, words), "lm_pairs")
+    singles = pairs.groupBy("own").agg(F.sum("n").alias("n"), F.sum("n_wanted").alias("n_wanted"))
+    singles = stored(singles, "lm_words")
+    total = singles.agg(F.count("*").alias("seen"), F.sum("n").alias("n"), F.sum("n_wanted").alias("n_wanted")).first()
+    words.seen = total.seen
+    return Models(words, pairs, singles, total.n or 0, total.n_wanted or 0)
 
 
-def score(docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, `n_tokens`, `target_loss`, `background_loss`, `difference` (per token)."""
-    prepare(docs.sparkSession)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(models)
-    names = ["id", "n_tokens", "target_loss", "background_loss", "difference"]
+def score(
+    docs: DataFrame, models: Models, id_col: str = "doc_id", text_col: str = "text", counted: bool = False
+) -> DataFrame:
+    """One row per document: id, `n_tokens`, `target_loss`, `background_loss`, `difference` (per token).
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
-        target, background = models.target.reshape(-1), models.background.reshape(-1)
+    `counted` says that `docs` are the documents that the models were fitted on, so that every pair is in the table.
+    """
+    prepare(docs.sparkSession)
+    text = F.col(text_col).cast("string")
+    pairs = models.pairs
+    if not counted:
+        others = pair_counts(docs.select(text.alias("text"), F.lit(False).alias("wanted")), models.words)
+        pairs = pairs.unionByName(others.withColumn("n", F.lit(0).cast("bigint"))).groupBy("before", "own")
+        pairs = pairs.agg(F.sum("n").alias("n"), F.sum("n_wanted").alias("n_wanted"))
+    words = models.words
+
+    def bag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each text's pairs with their numbers."""
         for batch in batches:
-            for begin, end in W.slices(batch.column(1)):
-                found = W.find(batch.column(1).slice(begin, end - begin))
-                pairs = _bigrams(found, models.words)
-                n = np.diff(found.first)
-                text = found.text_of()
-                with np.errstate(invalid="ignore"):
-                    sums = [np.bincount(text, t[pairs], len(n)) / n for t in (target, background)]
-                columns = [*sums, sums[0] - sums[1]]
+            keys = [batch.column(k).to_numpy() for k in (1, 2)]
+            for begin, end in W.slices(batch.column(0)):
+                found = W.find(batch.column(0).slice(begin, end - begin))
+                before, own = _pairs(found, words)
+                row = found.text_of()
+                order = np.lexsort((_hashed(before, own), row))
+                before, own, row = before[order], own[order], row[order]
+                new = np.ones(len(row), bool)
+                new[1:] = (before[1:] != before[:-1]) | (own[1:] != own[:-1]) | (row[1:] != row[:-1])
+                at = np.flatnonzero(new)
+                n = np.diff(np.append(at, len(row)))
+                columns = [*(k[begin:end][row[at]] for k in keys), before[at], own[at], n]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(begin, end - begin),
-                        pa.array(n.astype(np.int64)),
-                        *(pa.array(c, pa.float64(), mask=n == 0) for c in columns),
-                    ],
-                    names=names,
+                    [pa.array(c) for c in columns], names=["key_a", "key_b", "before", "own", "n"]
                 )
 
-    kind = rows.schema["id"].dataType.simpleString()
-    schema = f"id {kind}, n_tokens bigint, target_loss double, background_loss double, difference double"
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    texts = docs.select(text.alias("text"), *content_key(text))
+    bags = texts.mapInArrow(bag, "key_a bigint, key_b int, before bigint, own bigint, n bigint")
+    bags = bags.select("key_a", "key_b", F.xxhash64("before", "own").alias("pair"), F.col("n").cast("int").alias("n"))
+    # Copies of a text add to one sum, and their tokens too: the means are those of one copy.
+    sums = bags.join(models.losses(pairs), "pair").groupBy("key_a", "key_b")
+    sums = sums.agg(F.sum("n").alias("n"), *(F.sum(F.col("n") * F.col(c)).alias(c) for c in ("target", "background")))
+    rows = docs.select(
+        F.col(id_col).alias("id"),
+        F.coalesce(F.regexp_count(text, F.lit(r"[^\x09-\x0D\x20]+")), F.lit(0)).cast("bigint").alias("n_tokens"),
+        *content_key(text),
+    )
+    rows = rows.join(sums, ["key_a", "key_b"], "left")
+    target, background = (F.col(c) / F.col("n") / STEP for c in ("target", "background"))
+    return rows.select(
+        F.col("id").alias(id_col),
+        "n_tokens",
+        target.alias("target_loss"),
+        background.alias("background_loss"),
+        (target - background).alias("difference"),
+    )

@@ -74,3 +74,25 @@ def test_query_separates_held_out_labels(spark):
     bad = [rows[r.doc_id].difference for r in labels if r.quality == 0 and rows[r.doc_id].difference is not None]
     better = sum(a < b for a in good for b in bad) / (len(good) * len(bad))
     assert better > 0.7
+
+
+def test_every_word_of_a_large_vocabulary_counts(spark):
+    """More words than any fixed table would hold; a rare wanted word moves the score of a text."""
+    docs = [(i, " ".join(f"w{i}x{k}" for k in range(100))) for i in range(60)]
+    docs += [(100 + i, f"the {'rareone' if i < 4 else 'plainone'} end") for i in range(8)] + [(200, None)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(100 + i, 1) for i in range(3)], "doc_id long, quality int")
+    models = lm.fit(df, labels)
+    assert models.words.size == 1 + lm.CLASSES + 6000 + 4
+    want = plain(docs, [100, 101, 102], None)
+    new = spark.createDataFrame([(1, "the rareone end"), (2, "the plainone end"), (3, "unseen end")], "doc_id long, text string")
+    for counted in (True, False):
+        rows = {r.doc_id: r for r in lm.score(df, models, counted=counted).collect()}
+        assert len(rows) == len(docs)
+        for i, (t, b) in want.items():
+            if t is not None:
+                assert (rows[i].target_loss, rows[i].background_loss) == (pytest.approx(t, rel=1e-4), pytest.approx(b, rel=1e-4))
+        assert rows[103].difference < rows[104].difference
+    other = {r.doc_id: r for r in lm.score(new, models).collect()}
+    assert other[1].difference == pytest.approx(rows[103].difference) and other[3].n_tokens == 2
+    assert other[3].target_loss > 0 and other[3].background_loss > 0
