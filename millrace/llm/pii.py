@@ -3,8 +3,9 @@
 Base kinds are found by their pattern alone and confirmed by a rule: `email`, `ip` (parts at most 255), `card`
 (13 to 19 digits that pass Luhn) and `phone` (a plus sign and 9 to 15 digits). Matches of one kind do not overlap; a
 match that fails its rule is dropped and nothing inside it is tried again. Further kinds: `iban` (country letters,
-mod-97), and `local_phone`, a number without a plus sign, which counts only where a context word lies near. A span
-of a further kind is left out where it touches a base span.
+the length of that country, mod-97; without a known length the longest end of a word that passes mod-97), and
+`local_phone`, a number without a plus sign, which counts only where a context word lies near. A span of a further
+kind is left out where it touches a base span.
 
 Every span has a score: what its pattern and checksum are worth, raised by a word nearby that names its kind and
 lowered by one that denies it. Base spans stay whatever their score; others need `keep_from`.
@@ -29,8 +30,20 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])")
-_NATIONAL = re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,5}\)?(?:[ ./-][0-9]{2,5}){1,4}+(?![0-9A-Za-z.-])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?= ?[A-Z0-9])")
+_NATIONAL = re.compile(r"(?<![0-9A-Za-z+.-])\(?[0-9]{2,5}\)?(?:[ ./-][0-9]{2,5}){1,4}+(?![0-9A-Za-z-]|\.[0-9])")
+
+# Characters of an IBAN by country (fixed values, the public registry).
+IBAN_LENGTH = {
+    country: n
+    for n, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
 
 # Context words (fixed values): a span near one of its kind's words is likelier, near a denying word less likely.
 CONTEXT = {
@@ -99,12 +112,31 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _further(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
-    out = []
+def _ibans(text: str) -> list[tuple[int, int]]:
+    out, done = [], 0
     for m in _IBAN.finditer(text):
-        plain = m.group().replace(" ", "")
-        if 15 <= len(plain) <= 34 and mod97(plain):
-            out.append(("iban", *m.span()))
+        if m.start() < done:
+            continue
+        at, plain, ends = m.end(), m.group(), []
+        while len(plain) < 34:
+            at += text[at : at + 1] == " "
+            c = text[at : at + 1]
+            if not ("A" <= c <= "Z" or "0" <= c <= "9"):
+                break
+            at, plain = at + 1, plain + c
+            after = text[at : at + 1]
+            if len(plain) >= 15 and not (after.isascii() and after.isalnum()):
+                ends.append((plain, at))
+        for plain, end in reversed(ends):
+            if len(plain) == IBAN_LENGTH.get(plain[:2], len(plain)) and mod97(plain):
+                out.append((m.start(), end))
+                done = end
+                break
+    return out
+
+
+def _further(text: str, taken: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    out = [("iban", a, b) for a, b in _ibans(text)]
     for m in _NATIONAL.finditer(text):
         if 7 <= len(_digits(m.group())) <= 12:
             out.append(("local_phone", *m.span()))

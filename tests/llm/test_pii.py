@@ -74,3 +74,23 @@ def test_query_over_whole_tables(spark):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == x for k, _, _ in want) for x in pii.KINDS]
         listed = ",".join(f"{k}:{a}:{b}" for k, a, b in want)
         assert r.base_sha256 == brute.sha(listed) and r.spans.startswith(listed)
+
+
+def test_ibans_and_local_phones_end_where_they_end():
+    def found(text, kind="iban"):
+        return [text[s["begin"] : s["end"]] for s in pii.find(text) if s["kind"] == kind]
+
+    plain, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    for iban in (plain, spaced, "GB82 WEST 1234 5698 7654 32", "NO9386011117947"):
+        for after in ("", " The rest", " 500 EUR", " BIC COBADEFF", ". Next", ".", ", X", " 1", " A", "\nB2", " GB12 X"):
+            assert found(f"Pay {iban}{after}") == [iban], after
+    assert found(f"{plain} {spaced} {plain}") == [plain, spaced, plain]
+    assert found(f"{plain}The") == found(f"{plain}5") == found("DE88370400440532013000 The rest") == []
+    assert found("AB12 CD34 " + plain) == [plain]  # a failed beginning hides nothing after it
+    # No known length: the longest end of a word that passes mod-97.
+    code = next(f"ZZ{k:02}12345678901234" for k in range(98) if pii.mod97(f"ZZ{k:02}12345678901234"))
+    assert found(f"iban {code} Then") == [code]
+    assert pii.redact(f"to {plain} The", pii.find(f"to {plain} The")) == "to [IBAN] The"
+    for after in ("", ".", ". Then", " now", ", or"):
+        assert found(f"call 030 123 4567{after}", "local_phone") == ["030 123 4567"], after
+    assert found("call 030 123 4567.5", "local_phone") == []
