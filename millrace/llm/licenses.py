@@ -15,11 +15,13 @@ Equal texts are looked at once each, by 96 bits that stand for a text. No list i
 of the templates are counted; up to `SENT` they are broadcast to those of the texts, beyond that both are shuffled.
 
 Defined results: null and empty texts have no words and no matches; a template of fewer than five words has no
-shingle and is never found. Every row keeps its row, repeated ones too. Templates with one id are told apart by text.
+shingle and is never found, unless `short` makes its words one shingle of their own length. Every row keeps its row, repeated ones too. Templates with one id are told apart by text.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import content_key, prepare
@@ -98,6 +100,7 @@ def scan(
     size: int = SIZE,
     bands: int = BANDS,
     rows: int = ROWS,
+    short: bool = False,
 ) -> DataFrame:
     """One row per document: id and `matches`, sorted: array<struct<template, containment, begin, end>>.
 
@@ -105,12 +108,24 @@ def scan(
     (the first of such).
     """
     prepare(docs.sparkSession)
-    wanted = templates.select(
-        F.col(template_id_col).cast("string").alias("template"),
-        F.array_distinct(shingle_hashes(F.col(template_text_col).cast("string"), size)).alias("parts"),
-    ).where(F.size("parts") > 0)
+    body = F.col(template_text_col).cast("string")
+
+    def cut(length: int) -> DataFrame:
+        parts = F.array_distinct(shingle_hashes(body, length)).alias("parts")
+        return templates.select(
+            F.col(template_id_col).cast("string").alias("template"), parts, F.lit(length).alias("length"),
+            F.size(shingle_hashes(body, 1)).alias("words"),
+        ).where(F.size("parts") > 0)
+
+    wanted, lengths = cut(size), [size]
+    if short:
+        # Templates with too few words for a shingle: as one shingle each, looked for by its length.
+        for length in range(1, size):
+            less = cut(length).where(F.col("words") == length)
+            if not less.isEmpty():
+                wanted, lengths = wanted.union(less), [*lengths, length]
     reach = F.greatest(F.lit(LEAST_REACH), F.pow(2, F.ceil(F.log2(F.size("parts")) - 1e-9)).cast("int"))
-    wanted = wanted.distinct().select("template", "parts", reach.alias("reach"))
+    wanted = wanted.distinct().select("template", "parts", "length", reach.alias("reach"))
     # Sent to the executors while it is small, which is counted first; joined by a shuffle beyond that.
     total = wanted.agg(F.sum(F.size("parts")).alias("n")).first().n or 0
     near = F.broadcast if total <= SENT else lambda table: table
@@ -118,9 +133,13 @@ def scan(
     known = known.agg(F.collect_set("reach").alias("reaches"))
 
     text = F.col(text_col).cast("string")
-    texts = docs.select(*content_key(text), shingle_hashes(text, size).alias("all"))
-    hits = texts.select("key_a", "key_b", F.posexplode("all").alias("place", "shingle")).join(near(known), "shingle")
-    hits = hits.dropDuplicates(["key_a", "key_b", "place"])
+
+    def met(length: int) -> DataFrame:
+        texts = docs.select(*content_key(text), shingle_hashes(text, length).alias("all"))
+        hits = texts.select("key_a", "key_b", F.posexplode("all").alias("place", "shingle")).join(near(known), "shingle")
+        return hits.dropDuplicates(["key_a", "key_b", "place"])
+
+    hits = reduce(DataFrame.union, map(met, lengths))
 
     # The window that begins at the reach's multiple before a shingle, and the one before that.
     inside = hits.select("key_a", "key_b", "place", "shingle", F.explode("reaches").alias("reach"))
@@ -144,7 +163,7 @@ def scan(
         "window",
         (common / F.size("parts")).alias("containment"),
         F.array_min(places).alias("begin"),
-        (F.array_max(places) + size).alias("end"),
+        (F.array_max(places) + F.col("length")).alias("end"),
     ).distinct()
     best = found.groupBy("key_a", "key_b", "template").agg(
         F.max("containment").alias("containment"),

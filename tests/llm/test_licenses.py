@@ -63,3 +63,16 @@ def test_query_is_native_and_agrees_with_sql(spark):
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas"))
     assert compare.difference(df, compare.connect(brute.SF), queries.ORACLE["op9_licenses"]) is None
     assert df.where("n_matches > 0").count() > 0
+
+
+def test_short_templates_are_one_shingle_where_asked_for(spark):
+    named = [("two", "CC BY"), ("four", "under the MIT License"), ("five", "Released under the MIT License."), ("none", None), ("empty", "")]
+    templates = spark.createDataFrame(named, "template_id string, text string")
+    docs = [(1, "licensed under the MIT license"), (2, "Released under the MIT License"), (3, "by cc x " * 9 + "cc-by"), (4, "under the license MIT"), (5, None), (6, "cc")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    rows = licenses.scan(df, templates, short=True).collect()
+    got = {r.doc_id: [(m.template, m.containment, m.begin, m.end) for m in r.matches] for r in rows}
+    assert got == {
+        1: [("four", 1.0, 1, 5)], 2: [("five", 1.0, 0, 5), ("four", 1.0, 1, 5)], 3: [("two", 1.0, 27, 29)], 4: [], 5: [], 6: []
+    }
+    assert {r.doc_id: len(r.matches) for r in licenses.scan(df, templates).collect()} == {1: 0, 2: 1, 3: 0, 4: 0, 5: 0, 6: 0}
