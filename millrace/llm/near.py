@@ -4,8 +4,10 @@ A text is a sequence of k-word shingles; the r-th occurrence of a shingle in its
 all labelled shingles differ. For each of `sketches` random orders, the `picks` least labelled shingles are
 taken and put back into text order; their hash is one Order MinHash value. Two texts agree in a value with
 about the chance J^picks that the same shingles come out least, and only if they stand in the same order, so
-the values follow edit similarity rather than common content. With the defaults a pair at similarity 0.8 is
-missed with a chance of about 2e-6.
+the values follow edit similarity rather than common content. With the defaults a pair of long texts at similarity
+0.8 is missed with a chance of about 2e-6. Of few shingles the least are drawn without replacement, and the chance
+is higher: 4 shingles and the same with one more at an end agree in a value only if that one is the largest of
+five, so the pair is missed with a chance of 0.8^24 = 0.5 %.
 
 Texts with a value in common are compared by alignment: with n and m shingles and a longest common
 subsequence of L, the similarity is L / (n + m - L) - the Jaccard index of the shingles, counted in order. For a
