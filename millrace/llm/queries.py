@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, licenses, lm, lzprint, near, pii, quality, substrings, toxicity
+from . import bpe, contamination, licenses, lm, lzprint, merkle, near, pii, quality, substrings, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -132,3 +132,28 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         F.get("tails", F.lit(0)).alias("tail_probability"),
         (F.get("tails", F.lit(0)) >= 0.5).alias("keep"),
     )
+
+
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    marked = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0, F.lit(False))
+    tampered = F.when(marked, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))
+    shown = merkle.leaf([tampered if name == "n_chars" else F.col(name) for name in LEAF])
+    rows = merkle.build(docs, LEAF, carry={"shown": shown}).proofs()
+    folded = merkle.refold(F.col("item.shown"), F.col("path"))
+    rows = rows.select(
+        F.col("item.id").alias("doc_id"),
+        "leaf",
+        "subroot",
+        "root",
+        merkle.path_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    )
+    return rows.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+ORACLE["op12_merkle"] = merkle.SQL
