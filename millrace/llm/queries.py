@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import bpe, contamination, licenses, lm, lzprint, merkle, near, pii, quality, substrings, toxicity
+from . import bpe, contamination, licenses, lm, lzprint, merkle, near, pii, quality, rules, spelling, substrings, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +134,14 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group(spelling.vocabulary(table(spark, folder, "documents")))
+
+
+ORACLE["op11_spelling"] = spelling.SQL
+
+
 LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
 
 
@@ -157,3 +165,22 @@ def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLE["op12_merkle"] = merkle.SQL
+
+
+@query
+def op13_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Held-out rows are not learnt from."""
+    docs = table(spark, folder, "documents")
+    held_out = toxicity.held_out(F.col("doc_id"))
+    learned = rules.fit(docs, table(spark, folder, "labels").where(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), rules.statistics(F.col("text")).alias("stats"))
+    stats = F.col("stats")
+    rule = learned.decided_by(rules.features(stats))
+    found = found.select(
+        "doc_id",
+        "held_out",
+        *(stats[name].alias(name) for name in rules.COUNTS[:5]),
+        rules.base_failed(stats).alias("base_failed"),
+        rule.cast("bigint").alias("rule"),
+    )
+    return found.withColumn("kept", ~F.col("base_failed") & (F.col("rule") == 0))
