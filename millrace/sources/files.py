@@ -2,20 +2,27 @@
 
 Layout of the input: <root>/<adm|erp|forecast|tms>/<YYYY-MM-DD|YYYY-MM|demand_signals>/<name>.json,
 each file one JSON object or an array of them.
+
+Which files are new is told from the listing alone: path, length and time against the ledger. Contents are
+read of new files, and of files whose length or time is another one; those are hashed first, since a file
+that was only touched is not news. `verify` hashes everything.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Callable, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from ..functions import payload as p
 from ..operators import changed_only, first_per_key
-from ..session import scratch_dir
+from . import arrays
 from .store import Store
 
 RAW, LEDGER = "raw_events", "ingested_files"
 RAW_SCHEMA = (
-    "file_path string, file_hash string, source_system string, raw_event_date date, reason string, pos int,"
+    "file_path string, file_hash string, source_system string, raw_event_date date, reason string, pos bigint,"
     " payload string, raw_event_key string, ingest_batch bigint, status string, event_type string"
 )
 
@@ -24,8 +31,11 @@ SOURCES = "adm|erp|forecast|tms"
 FOLDERS = r"\d{4}-\d{2}(-\d{2})?|demand_signals"
 SIGNAL_DATE = r"^SIG-(\d{8})-"
 
-# Spark's own limit for one binary value; a longer file cannot be read as one row.
-LONGEST_VALUE = 2**31 - 1
+# Files up to this length are rows; longer ones are split at record ends while they are read.
+LONGEST_ROW = 64 << 20
+STATUSES = ("event", "empty", "quarantine")
+# How a file is recognised in a listing.
+STAMP = ["path", "modified", "length"]
 
 
 def _reader(spark: SparkSession, streaming: bool):
@@ -52,33 +62,44 @@ def qualified(spark: SparkSession, root: str) -> str:
     return system.resolvePath(path).toString().rstrip("/")
 
 
-def _readable(files: DataFrame) -> DataFrame:
-    return files.where(F.col("length") <= LONGEST_VALUE)
-
+def listing(files: DataFrame) -> DataFrame:
+    """Path, time and length of the files; contents are not read for it."""
+    return files.select("path", F.col("modificationTime").alias("modified"), "length")
 
-def _oversized(files: DataFrame) -> DataFrame:
-    """Files longer than one row can hold; their contents are not read."""
-    too_long = files.where(F.col("length") > LONGEST_VALUE).drop("content")
-    return too_long.withColumn("content", F.lit(None).cast("binary"))
 
-
-def _described(files: DataFrame) -> DataFrame:
-    parts = F.split("path", "/")
+def _from_path(path: Column) -> dict[str, Column]:
+    """What the path of a file says about its events."""
+    parts = F.split(path, "/")
     folder, name = F.element_at(parts, -2), F.element_at(parts, -1)
     signals = folder == "demand_signals"
     signal_date = F.try_to_date(F.regexp_extract(name, SIGNAL_DATE, 1), "yyyyMMdd")
     folder_date = F.coalesce(F.try_to_date(folder, "yyyy-MM-dd"), F.try_to_date(folder, "yyyy-MM"))
-    return files.select(
-        F.col("path").alias("file_path"),
-        F.sha2("content", 256).alias("file_hash"),
-        F.col("content").isNull().alias("unread"),
-        F.element_at(parts, -3).alias("source_system"),
-        F.when(signals, "demand_signals").otherwise(F.regexp_replace(name, r"\.json$", "")).alias("event_type"),
-        F.when(signals, signal_date).otherwise(folder_date).alias("raw_event_date"),
-        F.try_validate_utf8(F.col("content").cast("string")).alias("body"),
+    return {
+        "source_system": F.element_at(parts, -3),
+        "event_type": F.when(signals, "demand_signals").otherwise(F.regexp_replace(name, r"\.json$", "")),
+        "raw_event_date": F.when(signals, signal_date).otherwise(folder_date),
+    }
+
+
+def _reason(broken: Column, found: Column) -> Column:
+    """Why a file gives no events."""
+    return (
+        F.when(F.col("raw_event_date").isNull(), "no event date")
+        .when(broken, "unreadable JSON")
+        .when(found == 0, "empty file")
     )
 
 
+def _keyed(rows: DataFrame) -> DataFrame:
+    key = F.sha2(F.concat_ws("|", "file_path", "file_hash", F.col("pos").cast("string")), 256)
+    status = F.when(F.col("reason").isNull(), "event").when(F.col("reason") == "empty file", "empty")
+    rows = rows.withColumns({"raw_event_key": key, "status": F.coalesce(status, F.lit("quarantine"))})
+    return rows.select(
+        "file_path", "file_hash", "source_system", "event_type", "raw_event_date", "reason", F.col("pos").cast("bigint").alias("pos"),
+        "payload", "raw_event_key", "status",
+    )
+
+
 def _elements(body: Column) -> Column:
     """Canonical text of each record; NULL (or a NULL inside) where the file cannot be read.
 
@@ -96,36 +117,37 @@ def _elements(body: Column) -> Column:
 
 
 def parse(files: DataFrame) -> DataFrame:
-    """Records of the files, without exact repeats inside a file.
+    """Records of files that are rows, without exact repeats inside a file.
 
     A file that cannot be used gives one row with a `reason` instead. Repeats are removed as an
     array operation inside the file's own row, so nothing is shuffled for it.
     """
-    found = _readable(files).unionByName(_oversized(files))
-    read = _described(found).withColumn("records", _elements(F.col("body"))).drop("body")
-    broken = F.coalesce(F.exists("records", lambda r: r.isNull()), F.lit(True))
-    reason = (
-        F.when(F.col("unread"), "file too large")
-        .when(F.col("raw_event_date").isNull(), "no event date")
-        .when(broken, "unreadable JSON")
-        .when(F.size("records") == 0, "empty file")
+    read = files.select(
+        F.col("path").alias("file_path"),
+        F.sha2("content", 256).alias("file_hash"),
+        F.try_validate_utf8(F.col("content").cast("string")).alias("body"),
     )
-    read = read.withColumn("reason", reason)
+    read = read.withColumns(_from_path(F.col("file_path"))).withColumn("records", _elements(F.col("body"))).drop("body")
+    broken = F.coalesce(F.exists("records", lambda r: r.isNull()), F.lit(True))
+    read = read.withColumn("reason", _reason(broken, F.size("records")))
     records = F.when(F.col("reason").isNull(), F.array_distinct("records"))
-    rows = read.select(
-        "file_path",
-        "file_hash",
-        "source_system",
-        "event_type",
-        "raw_event_date",
-        "reason",
-        F.posexplode_outer(records).alias("pos", "payload"),
-    )
-    key = F.sha2(F.concat_ws("|", "file_path", "file_hash", F.col("pos").cast("string")), 256)
-    status = F.when(F.col("reason").isNull(), "event").when(F.col("reason") == "empty file", "empty")
-    return rows.withColumns(
-        {"raw_event_key": key, "status": F.coalesce(status, F.lit("quarantine"))}
-    )
+    return _keyed(read.select("*", F.posexplode_outer(records).alias("pos", "payload")))
+
+
+def parse_split(spark: SparkSession, paths: Sequence[str], known: DataFrame | None = None) -> DataFrame:
+    """The same rows for files of any length. Files whose (path, hash) is `known` are left out."""
+    found, records = arrays.split(spark, paths, _elements)
+    wanted = spark.createDataFrame([(path,) for path in paths], "file_path string")
+    files = wanted.join(found, "file_path", "left")
+    if known is not None:
+        files = changed_only(files, known, ["file_path", "file_hash"])
+    files = files.withColumns(_from_path(F.col("file_path")))
+    # A file that gave nothing at all has a part no value can hold.
+    files = files.withColumn("reason", _reason(F.coalesce("broken", F.lit(True)), F.col("found")))
+    head = ["file_path", "file_hash", "source_system", "event_type", "raw_event_date", "reason"]
+    good = files.where("reason is null").select(*head).join(records, "file_path")
+    bad = files.where("reason is not null").select(*head, F.lit(None).cast("bigint").alias("pos"), F.lit(None).cast("string").alias("payload"))
+    return _keyed(good.unionByName(bad))
 
 
 def ledger(store: Store) -> DataFrame | None:
@@ -133,51 +155,106 @@ def ledger(store: Store) -> DataFrame | None:
     rows = store.rows(LEDGER)
     if rows is None:
         return None
+    return _newest(rows)
+
+
+def _newest(rows: DataFrame) -> DataFrame:
     return first_per_key(rows, ["file_path"], [F.col("ingest_batch").desc()])
 
 
-def changed_files(store: Store, files: DataFrame) -> DataFrame:
-    """Files whose content the ledger does not know.
+def compact(store: Store, grace_seconds: float | None = None) -> int:
+    """Fold the batches of raw events and of the ledger; with `grace_seconds` also drop what was folded before then.
 
-    Contents are never shuffled for this: only (path, hash) meets the ledger, the few changed paths
-    are written down, and the files are read again by a join with that small table, which Spark
-    broadcasts while its written size allows.
+    The ledger keeps one row of each file in a folder; raw events stay as they are. Returns the folders written.
     """
+    written = store.fold(RAW, ["status", "event_type"], RAW_SCHEMA)
+    written += store.fold(LEDGER, merge=_newest)
+    if grace_seconds is not None:
+        for table in (RAW, LEDGER):
+            store.expire(table, grace_seconds)
+    return written
+
+
+def candidates(store: Store, listed: DataFrame, verify: bool = False) -> DataFrame:
+    """Files of a listing that the ledger does not know as they stand there; with `verify`, all of them."""
     known = ledger(store)
-    if known is None:
-        return files
-    readable = _readable(files)
-    prints = readable.select(F.col("path").alias("file_path"), F.sha2("content", 256).alias("file_hash"))
-    fresh = changed_only(prints, known, ["file_path", "file_hash"]).select(F.col("file_path").alias("path"))
-    folder = scratch_dir(store.spark, "changed-files")
-    fresh.write.parquet(folder)
-    changed = readable.join(store.spark.read.schema("path string").parquet(folder), "path", "left_semi")
-    return changed.unionByName(_oversized(files))
+    if known is None or verify or "modified" not in known.columns:
+        return listed
+    return changed_only(listed, known.withColumnRenamed("file_path", "path"), STAMP)
 
 
-def write_batch(store: Store, files: DataFrame) -> int:
+def _paths(files: DataFrame) -> list[str]:
+    """Paths to read. Paths only: the driver's own listing of the tree holds more of them."""
+    return sorted(files.agg(F.collect_list("path")).first()[0])
+
+
+def _content(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    reader = spark.read.format("binaryFile")
+    return reader.load([arrays.literally(path) for path in paths])
+
+
+def changed_files(store: Store, listed: DataFrame, verify: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Files to take in, and files that are only touched: both as (path, modified, length), written down.
+
+    Of the candidates, those that the ledger has under another time or length are hashed; nothing else is read.
+    """
+    found = arrays.stored(candidates(store, listed, verify), "listed-files")
+    known = ledger(store)
+    if known is None:
+        return found, found.where("false")
+    short = found.where(F.col("length") <= LONGEST_ROW)
+    rewritten = _paths(short.join(known.select(F.col("file_path").alias("path")), "path", "left_semi"))
+    if not rewritten:
+        return found, found.where("false")
+    prints = _content(store.spark, rewritten).select("path", F.sha2("content", 256).alias("file_hash"))
+    same = prints.join(known.select(F.col("file_path").alias("path"), "file_hash"), ["path", "file_hash"], "left_semi")
+    touched = arrays.stored(found.join(same.select("path"), "path", "left_semi"), "touched-files")
+    return found.join(touched.select("path"), "path", "left_anti"), touched
+
+
+def write_batch(
+    store: Store, files: DataFrame, touched: DataFrame | None = None, note: Callable[[str, int], None] | None = None
+) -> int:
     """Parse and append changed files as one batch; the ledger is written last.
 
-    Returns the batch number. If the job fails before the ledger is complete, the next run takes
-    the same number again and overwrites what this one left.
+    `files` is a listing; `note` is told the rows of each status. Returns the batch number. If the job fails before the ledger is complete, the next
+    run takes the same number again and overwrites what this one left.
     """
-    batch = store.last_batch(LEDGER) + 1
-    rows = parse(files).withColumn("ingest_batch", F.lit(batch).cast("bigint"))
+    spark, batch = store.spark, store.last_batch(LEDGER) + 1
+    number = F.lit(batch).cast("bigint")
+    short, long = (_paths(files.where(rule)) for rule in (F.col("length") <= LONGEST_ROW, F.col("length") > LONGEST_ROW))
+    known = ledger(store)
+    parts = [parse(_content(spark, short))] if short else []
+    parts += [parse_split(spark, long, known)] if long else []
+    if not parts:
+        parts = [spark.createDataFrame([], RAW_SCHEMA).drop("ingest_batch")]
+    rows = reduce(DataFrame.unionByName, parts).withColumn("ingest_batch", number)
+    seen = Observation("bronze")
+    rows = rows.observe(seen, *(F.count_if(F.col("status") == status).alias(status) for status in STATUSES))
     # Even out file sizes: many small sources per task on one side, one dominant source on the other.
     store.add_batch(RAW, rows.hint("rebalance", "status", "event_type"), batch, ["status", "event_type"])
+    for status, n in seen.get.items() if note is not None else ():
+        note(status, n)
     written = store.batches(RAW, after=batch - 1, upto=batch, schema=RAW_SCHEMA)
-    events = written.where("status = 'event'")
-    counts = events.groupBy("file_path", "file_hash").agg(F.count(F.lit(1)).alias("row_count"))
-    counts = counts.withColumns(
-        {"ingest_batch": F.lit(batch).cast("bigint"), "ingested_at": F.current_timestamp()}
-    )
+    counts = written.where("status = 'event'").groupBy("file_path", "file_hash").agg(F.count(F.lit(1)).alias("row_count"))
+    stamps = files.withColumnRenamed("path", "file_path")
+    counts = counts.join(stamps, "file_path")
+    if known is not None:
+        # Known content under a new time: noted, so that it is not read again.
+        again = known.drop("modified", "length", "ingest_batch", "ingested_at")
+        seen = touched if touched is not None else files.where("false")
+        seen = seen.unionByName(files.where(F.col("length") > LONGEST_ROW))
+        seen = seen.withColumnRenamed("path", "file_path").join(counts.select("file_path"), "file_path", "left_anti")
+        broken = written.where("status <> 'event'").select("file_path")
+        counts = counts.unionByName(again.join(seen.join(broken, "file_path", "left_anti"), "file_path"))
+    counts = counts.withColumns({"ingest_batch": number, "ingested_at": F.current_timestamp()})
     store.add_batch(LEDGER, counts, batch)
     return batch
 
 
-def ingest(store: Store, root: str) -> int:
-    """Ingest every new or changed file below `root`."""
-    return write_batch(store, changed_files(store, discover(store.spark, root)))
+def ingest(store: Store, root: str, verify: bool = False, note: Callable[[str, int], None] | None = None) -> int:
+    """Ingest every new or changed file below `root`; `verify` trusts no listing and hashes every file."""
+    return write_batch(store, *changed_files(store, listing(discover(store.spark, root)), verify), note)
 
 
 def raw_events(store: Store, after: int = 0) -> DataFrame | None:

@@ -59,12 +59,13 @@ def stream_files(
     """Ingest new event files as they appear; `after_batch` can refresh the layers above.
 
     Without `every` the stream takes what is there and stops; with it (say "30 seconds") it goes on.
-    The stream notices new paths. A file rewritten under its old path is for `files.ingest`, whose
-    ledger compares contents; the ledger also keeps a replayed micro-batch from adding rows twice.
+    New paths set off a micro-batch. It compares the listing of the whole tree with the ledger, so files that
+    were rewritten under their old path come in with it; contents of other files are not read. The ledger also
+    keeps a replayed micro-batch from adding rows twice.
     """
 
-    def take(batch: DataFrame, epoch: int) -> None:
-        number = files.write_batch(store, files.changed_files(store, batch))
+    def take(_: DataFrame, epoch: int) -> None:
+        number = files.ingest(store, root)
         if after_batch is not None:
             after_batch(number)
 
