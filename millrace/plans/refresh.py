@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
@@ -15,12 +16,37 @@ from . import aggregates, dims, exports, facts, silver
 from .facts import Horizon
 
 METRICS = "run_metrics"
+RUN = "gold"  # name under which finished runs are published
+DIMENSIONS = ("dim_date", "dim_customer", "dim_sku", "dim_carrier", "dim_warehouse")
+FACTS = (
+    "fact_order_lines", "fact_inventory_daily", "fact_production", "fact_payments", "fact_credit_events", "fact_shipments",
+    "fact_returns",
+)
+AGGREGATES = (
+    "agg_order_metrics_daily", "agg_customer_scorecard", "agg_sku_performance", "agg_inventory_health",
+    "agg_carrier_scorecard", "agg_demand_accuracy", "agg_cash_flow_monthly", "agg_production_quality",
+)
+GOLD = DIMENSIONS + FACTS + AGGREGATES
 
 
 def _name(table: str) -> str:
     return f"staging_{table}"
 
 
+def _found(seen: Observation, wait: float = 2.0) -> dict | None:
+    """What was observed inside a job that has ended; None if the plan left that part out.
+
+    `Observation.get` waits for good for a part that was left out, so this looks first. The listener that fills in
+    the figures may be a moment behind the job.
+    """
+    until = time.monotonic() + wait
+    while not seen._jo.getRowOrEmpty().isDefined():
+        if time.monotonic() > until:
+            return None
+        time.sleep(0.01)
+    return seen.get
+
+
 class Refresh:
     """One run over a store. Every written table is observed: rows and newest date, no extra scan."""
 
@@ -30,6 +56,7 @@ class Refresh:
         self.spark = tune(store.spark)
         self.horizon = horizon
         self.metrics: list[tuple[str, int, str | None]] = []
+        self._sources: dict[str, tuple[str, Observation]] = {}  # staging table under each fact, and its rows
 
     def _observed(self, table: str, df: DataFrame) -> tuple[DataFrame, Observation]:
         seen = Observation(table)
@@ -41,11 +68,20 @@ class Refresh:
         found = seen.get
         self.metrics.append((table, int(found["rows"]), found.get("newest")))
 
+    def _counted(self, name: str, count: int) -> None:
+        self.metrics.append((name, int(count), None))
+
+    def _source(self, fact: str, table: str) -> DataFrame:
+        """The staging table whose rows a fact is made of; its rows are counted in the fact's own job."""
+        seen = Observation(f"{fact}:staged")
+        self._sources[fact] = (table, seen)
+        return self.staged(table).observe(seen, F.count(F.lit(1)).alias("rows"))
+
     def _snapshot(self, table: str, df: DataFrame, batch: int) -> DataFrame:
         watched, seen = self._observed(table, df)
         self.store.add_snapshot(table, watched, batch)
         self._note(table, seen)
-        return self.store.snapshot(table)
+        return self.store.snapshot(table, upto=batch)
 
     def _together(self, work: Callable[[str], object], names: Iterable[str]) -> dict[str, object]:
         """Submit independent jobs side by side, so short ones fill what long ones leave idle."""
@@ -60,7 +96,7 @@ class Refresh:
     # --- bronze and silver ---------------------------------------------------------------------
 
     def bronze(self, data_dir: str) -> int:
-        return files.ingest(self.store, data_dir)
+        return files.ingest(self.store, data_dir, note=lambda status, n: self._counted(f"bronze:{status}", n))
 
     def silver(self, tables: Iterable[str] = tuple(silver.SPECS)) -> None:
         """Stage the raw events each table has not seen; only they are read."""
@@ -72,10 +108,13 @@ class Refresh:
             if raw is None:
                 return
             # Good rows and rejects leave one pass, unshuffled; keys are merged when they are read.
-            rows = silver.stage(raw, table).withColumn("ingested_at", F.current_timestamp())
+            skipped = Observation(f"{_name(table)}:skipped") if silver.SPECS[table].skip else None
+            rows = silver.stage(raw, table, skipped).withColumn("ingested_at", F.current_timestamp())
             watched, seen = self._observed(_name(table), rows)
             self.store.add_batch(_name(table), watched, upto)
             self._note(_name(table), seen)
+            if skipped is not None:
+                self._counted(f"{_name(table)}:skipped", (_found(skipped) or {}).get("skipped") or 0)
 
         self._together(stage, tables)
 
@@ -96,16 +135,19 @@ class Refresh:
         return silver.merge(None, silver.accepted(rows, table), table)
 
     def compact(self) -> None:
-        """Fold the batches of every staging table into a snapshot, so reads merge less."""
+        """Fold the batches of every staging table into a snapshot, and those of raw events, ledger and masters."""
         for table in silver.SPECS:
             last = self.store.last_batch(_name(table))
             if last:
                 self.store.add_snapshot(_name(table), self.staged(table), last)
+        files.compact(self.store)
+        for name in master.SCHEMAS:
+            master.compact(self.store, name)
 
     # --- gold ----------------------------------------------------------------------------------
 
     def dimensions(self, master_dir: str, batch: int) -> dict[str, DataFrame]:
-        master.store_all(self.store, master_dir, batch)
+        master.store_all(self.store, master_dir, batch, note=lambda name, n: self._counted(f"master_{name}", n))
         m = {name: master.stored(self.store, name) for name in master.SCHEMAS}
         changes = self.staged("master_data_changes")
         h = self.horizon
@@ -120,25 +162,25 @@ class Refresh:
 
     def facts(self, t: Mapping[str, DataFrame], batch: int) -> dict[str, DataFrame]:
         s, h = self.staged, self.horizon
-        loads = s("loads")
-        previous = self.store.snapshot("fact_shipments", before=batch)
-        fresh = facts.shipments(loads, t["dim_carrier"], t["dim_warehouse"], h)
+        own = self._source
+        previous = self.store.snapshot("fact_shipments", before=batch, upto=self._visible())
+        fresh = facts.shipments(own("fact_shipments", "loads"), t["dim_carrier"], t["dim_warehouse"], h)
         plans = {
             "fact_order_lines": facts.fact_order_lines(
-                s("orders"), s("order_lines"), s("exchange_rates"), t["dim_customer"], t["dim_sku"],
-                s("backorder_events"), loads, h,
+                s("orders"), own("fact_order_lines", "order_lines"), s("exchange_rates"), t["dim_customer"], t["dim_sku"],
+                s("backorder_events"), s("loads"), h,
             ),
             "fact_inventory_daily": facts.fact_inventory_daily(
-                s("inventory_snapshots"), s("inventory_targets"), t["dim_sku"], t["dim_warehouse"], h
+                own("fact_inventory_daily", "inventory_snapshots"), s("inventory_targets"), t["dim_sku"], t["dim_warehouse"], h
             ),
             "fact_production": facts.fact_production(
-                s("production_completions"), t["dim_sku"], t["dim_warehouse"], h
+                own("fact_production", "production_completions"), t["dim_sku"], t["dim_warehouse"], h
             ),
-            "fact_payments": facts.fact_payments(s("payments"), t["dim_customer"], h),
-            "fact_credit_events": facts.fact_credit_events(s("credit_events"), t["dim_customer"], h),
+            "fact_payments": facts.fact_payments(own("fact_payments", "payments"), t["dim_customer"], h),
+            "fact_credit_events": facts.fact_credit_events(own("fact_credit_events", "credit_events"), t["dim_customer"], h),
             "fact_shipments": facts.fact_shipments(previous, fresh),
             "fact_returns": facts.fact_returns(
-                s("return_lines"), s("returns"), t["dim_customer"], t["dim_sku"], t["dim_carrier"], h
+                own("fact_returns", "return_lines"), s("returns"), t["dim_customer"], t["dim_sku"], t["dim_carrier"], h
             ),
         }
         return self._snapshots(plans, batch)
@@ -161,21 +203,18 @@ class Refresh:
         }
         return self._snapshots(plans, batch)
 
-    def dropped(self, t: Mapping[str, DataFrame]) -> list[tuple[str, int, str | None]]:
-        """Staging rows that found no dimension version, per fact (row counts of written files)."""
-        source = {
-            "fact_order_lines": "order_lines",
-            "fact_inventory_daily": "inventory_snapshots",
-            "fact_production": "production_completions",
-            "fact_payments": "payments",
-            "fact_credit_events": "credit_events",
-            "fact_returns": "return_lines",
-            "fact_shipments": "loads",
-        }
-        return [
-            (f"{fact}:unmatched", self.staged(staged).count() - t[fact].count(), None)
-            for fact, staged in source.items()
-        ]
+    def dropped(self) -> list[tuple[str, int, str | None]]:
+        """Staging rows that found no dimension version, per fact: both counts come from the job that wrote the fact.
+
+        Where Spark could leave the staging side out of that job (another side was empty), its rows are counted now.
+        """
+        written = {name: n for name, n, _ in self.metrics}
+        out = []
+        for fact, (table, seen) in self._sources.items():
+            found = _found(seen)
+            rows = found["rows"] if found else self.staged(table).count()
+            out.append((f"{fact}:unmatched", rows - written[fact], None))
+        return out
 
     def gold(self, master_dir: str, batch: int) -> dict[str, DataFrame]:
         tables = self.dimensions(master_dir, batch)
@@ -183,26 +222,41 @@ class Refresh:
         tables |= self.aggregates(tables, batch)
         return tables
 
-    def reaggregate(self) -> dict[str, DataFrame]:
-        """Rebuild only the aggregates and views from the facts as they are."""
-        names = [
-            "dim_date", "dim_customer", "dim_sku", "dim_carrier", "dim_warehouse", "fact_order_lines",
-            "fact_inventory_daily", "fact_production", "fact_payments", "fact_credit_events",
-            "fact_shipments", "fact_returns",
-        ]
-        tables = {name: self.store.snapshot(name) for name in names}
-        tables |= self.aggregates(tables, self.store.last_batch("fact_order_lines"))
+    # --- what readers see ------------------------------------------------------------------------
+
+    def _visible(self) -> int | None:
+        """The published run; None for a store that has none (its tables count as they stand)."""
+        return self.store.published(RUN) or None
+
+    def _next(self) -> int:
+        """A run number above all that any table has, so a run never writes into a folder somebody reads."""
+        return 1 + max([self.store.published(RUN), *(self.store.last_batch(name) for name in GOLD)])
+
+    def tables(self) -> dict[str, DataFrame]:
+        """The gold tables of the newest finished run. A run that failed half-way leaves them as they were."""
+        found = {name: self.store.snapshot(name, upto=self._visible()) for name in GOLD}
+        return {name: df for name, df in found.items() if df is not None}
+
+    def _publish(self, run: int) -> dict[str, DataFrame]:
+        self.store.publish(RUN, run)
+        tables = self.tables()
         exports.register_views(tables)
         return tables
 
+    def reaggregate(self) -> dict[str, DataFrame]:
+        """Rebuild only the aggregates and views from the facts as they are."""
+        run = self._next()
+        self.aggregates(self.tables(), run)
+        return self._publish(run)
+
     def run(self, data_dir: str, master_dir: str) -> dict[str, DataFrame]:
         """Everything, in order. Returns the gold tables."""
         batch = self.bronze(data_dir)
         self.silver()
-        tables = self.gold(master_dir, batch)
-        exports.register_views(tables)
-        self.metrics += self.dropped(tables)
+        run = self._next()
+        self.gold(master_dir, run)
+        tables = self._publish(run)
+        self.metrics += self.dropped()
         rows = self.spark.createDataFrame(self.metrics, "table_name string, row_count bigint, newest string")
-        self.store.add_batch(METRICS, rows.withColumn("run", F.lit(batch)), batch)
+        self.store.add_batch(METRICS, rows.withColumns({"run": F.lit(run), "batch": F.lit(batch)}), run)
         return tables
-

@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions import payload as p
 from ..functions.scalars import (
@@ -510,9 +510,11 @@ SPECS: dict[str, Spec] = {
 }
 
 
-def stage(raw: DataFrame, table: str) -> DataFrame:
+def stage(raw: DataFrame, table: str, watch: Observation | None = None) -> DataFrame:
     """Typed rows of one staging table, good and bad, in one pass over its events.
 
+    `watch` counts the documents that are dropped without a reject, as `skipped`, in that same pass.
+
     `_reason` is NULL for a good row. `payload` stays where it is still needed: on rejects, and on
     rows whose natural key may be NULL.
 
@@ -524,6 +526,8 @@ def stage(raw: DataFrame, table: str) -> DataFrame:
         *LINEAGE, "event_type", "payload", F.explode(F.array(p.parsed(F.col("payload")))).alias(DOC)
     )
     if spec.skip is not None:
+        if watch is not None:
+            events = events.observe(watch, F.count_if(F.coalesce(spec.skip(), F.lit(True))).alias("skipped"))
         events = events.where(~spec.skip())
     for source, name, alias in spec.unnest:
         events = events.withColumn(alias, F.explode(p.elements(F.col(source), name)))

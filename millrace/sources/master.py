@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from ..operators import upsert_latest
 from .store import Store
@@ -49,12 +51,18 @@ def read_all(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return {name: read_master(spark, folder, name) for name in SCHEMAS}
 
 
-def store_all(store: Store, folder: str, batch: int) -> None:
-    """Take in one delivery of the four files. Nothing is stored unless all four can be read."""
+def store_all(store: Store, folder: str, batch: int, note: Callable[[str, int], None] | None = None) -> None:
+    """Take in one delivery of the four files. Nothing is stored unless all four can be read.
+
+    `note` is told the rows of each file, counted while it is read.
+    """
     number = F.lit(batch).cast("bigint")
     delivery = {name: rows.withColumn("delivery", number) for name, rows in read_all(store.spark, folder).items()}
-    for rows in delivery.values():
-        rows.write.format("noop").mode("overwrite").save()
+    for name, rows in delivery.items():
+        seen = Observation(name)
+        rows.observe(seen, F.count(F.lit(1)).alias("rows")).write.format("noop").mode("overwrite").save()
+        if note is not None:
+            note(name, seen.get["rows"])
     for name, rows in delivery.items():
         store.add_batch(f"master_{name}", rows, batch)
 
@@ -64,5 +72,11 @@ def stored(store: Store, name: str) -> DataFrame:
     return newest(store.rows(f"master_{name}"), name)
 
 
+def compact(store: Store, name: str) -> int:
+    """Fold the deliveries of a master table; a folder keeps the newest row of each key."""
+    keys = [KEYS[name]]
+    return store.fold(f"master_{name}", merge=lambda rows: upsert_latest(None, rows, keys, [F.col("delivery")]))
+
+
 def newest(rows: DataFrame, name: str) -> DataFrame:
     return upsert_latest(None, rows, [KEYS[name]], [F.col("delivery")]).drop("delivery")

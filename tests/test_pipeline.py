@@ -1,6 +1,7 @@
 """The whole way from JSON files to gold tables, on a small hand-written tree."""
 
 import json
+import os
 from datetime import date
 from pathlib import Path
 
@@ -213,6 +214,17 @@ def test_gold(world):
     assert pick(t["agg_demand_accuracy"], "period_month", "plan_vs_forecast_variance")[0][0] == date(2026, 3, 1)
     unmatched = {name: n for name, n, _ in refresh.metrics if name.endswith(":unmatched")}
     assert unmatched["fact_order_lines:unmatched"] == 2
+    source = {"fact_order_lines": "order_lines", "fact_inventory_daily": "inventory_snapshots", "fact_production": "production_completions",
+              "fact_payments": "payments", "fact_credit_events": "credit_events", "fact_returns": "return_lines", "fact_shipments": "loads"}
+    assert unmatched == {f"{f}:unmatched": refresh.staged(s).count() - t[f].count() for f, s in source.items()}
+    counts = {name: n for name, n, _ in refresh.metrics}
+    assert (counts["bronze:quarantine"], counts["bronze:empty"]) == (5, 1) and counts["bronze:event"] == files.raw_events(refresh.store).count()
+    assert (counts["staging_loads:skipped"], counts["staging_returns:skipped"]) == (1, 1)
+    assert (counts["master_carriers"], counts["master_catalog"], counts["master_warehouses"]) == (1, 1, 2)
+    refresh.spark.sparkContext.setJobGroup("dropped", "")
+    refresh.dropped()
+    assert refresh.spark.sparkContext.statusTracker().getJobIdsForGroup("dropped") == []
+    refresh.spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert refresh.spark.table("export_orders_with_customer_and_sku").count() == 4
     assert refresh.spark.table("export_customer_ar_flat").count() == 3
     exports.write_views(t, str(base / "views"), "csv")
@@ -249,6 +261,28 @@ def test_second_run_adds_nothing_and_changed_files_are_absorbed(world):
     assert third.reaggregate()["agg_customer_scorecard"].count() == 1
 
 
+def test_a_run_becomes_visible_as_a_whole(world, spark, monkeypatch):
+    """A failure between two writes leaves readers on the old run; the next run is visible with all its tables."""
+    base, store, _, _ = world
+    look = lambda: {name: sorted(map(repr, df.collect())) for name, df in Refresh(store).tables().items()}
+    before = look()
+    put(base / "data", "erp/2026-01-12/customer_orders.json", [order("O9", day="2026-01-12")])
+    broken = Refresh(store)
+    monkeypatch.setattr(broken, "aggregates", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        broken.run(str(base / "data"), str(base / "master"))
+    assert store.snapshot("fact_order_lines").count() == len(before["fact_order_lines"]) + 1
+    assert look() == before
+    done = Refresh(store)
+    tables = done.run(str(base / "data"), str(base / "master"))
+    after = look()
+    assert len(after["fact_order_lines"]) == len(before["fact_order_lines"]) + 1 == tables["fact_order_lines"].count()
+    assert after["agg_order_metrics_daily"] != before["agg_order_metrics_daily"]
+    assert len(list(Path(store.folder("_published")).glob("gold=*"))) == 1
+    assert done.reaggregate()["dim_date"].count() == len(before["dim_date"])
+    assert look() == after
+
+
 def test_one_batch_equals_many(world, spark, tmp_path):
     """Delivering the files one folder at a time ends in the same staging tables."""
     data_tree(tmp_path / "all")
@@ -319,16 +353,60 @@ def test_roots_may_be_written_in_any_way(spark, tmp_path, monkeypatch):
         files.discover(spark, str(tmp_path / "nowhere"))
 
 
-def test_oversized_files_are_reported_and_the_rest_goes_on(spark, tmp_path, monkeypatch):
+def test_no_length_decides_what_is_loaded(spark, tmp_path, monkeypatch):
+    """Files as rows and files that are split give the same events; a second run takes in nothing."""
+    data_tree(tmp_path / "data")
+    columns = ["file_path", "event_type", "raw_event_date", "pos", "payload", "source_system"]
+    found = []
+    for longest in (1 << 26, 200):
+        monkeypatch.setattr(files, "LONGEST_ROW", longest)
+        store = Store(spark, str(tmp_path / f"store{longest}"))
+        for _ in range(2):
+            files.ingest(store, str(tmp_path / "data"))
+        rows = files.raw_events(store)
+        assert rows.where("ingest_batch = 2").count() == 0
+        assert rows.select("raw_event_key").distinct().count() == rows.count()
+        bad = files.quarantine(store).where("ingest_batch = 1")
+        ledger = pick(files.ledger(store), "file_path", "row_count")
+        found.append((pick(rows, *columns), pick(bad, "file_path", "reason"), ledger))
+    assert found[0] == found[1]
+
+
+def test_unchanged_files_are_not_read_again(spark, tmp_path):
+    """The listing decides: bytes changed behind an unchanged time and length are seen on request only."""
+    folder = tmp_path / "data/erp/2026-01-06"
+    for name in ("payments", "orders", "loads"):
+        put(tmp_path / "data", f"erp/2026-01-06/{name}.json", [{"event_id": "E1"}])
+    store, root = Store(spark, str(tmp_path / "store")), str(tmp_path / "data")
+    files.ingest(store, root)
+    assert "content" not in files.listing(files.discover(spark, root))._jdf.queryExecution().executedPlan().toString()
+
+    stat = (folder / "payments.json").stat()
+    put(tmp_path / "data", "erp/2026-01-06/payments.json", [{"event_id": "E2"}])
+    os.utime(folder / "payments.json", ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    os.utime(folder / "orders.json", (1, 1))  # touched: another time, the same content
+    put(tmp_path / "data", "erp/2026-01-06/loads.json", [{"event_id": "E3"}])
+    listed = files.listing(files.discover(spark, root))
+    assert sorted(Path(r.path).name for r in files.candidates(store, listed).collect()) == ["loads.json", "orders.json"]
+    files.ingest(store, root)
+    assert files.raw_events(store, after=1).count() == 1
+    assert files.candidates(store, listed).count() == 0  # the touched file is known under its new time
+    files.ingest(store, root, verify=True)
+    assert [r.payload for r in files.raw_events(store, after=2).collect()] == ['{"event_id":"E2"}']
+    files.ingest(store, root, verify=True)
+    assert files.raw_events(store, after=3).count() == 0
+
+
+def test_stream_takes_in_rewritten_files(spark, tmp_path):
+    store, root = Store(spark, str(tmp_path / "store")), str(tmp_path / "data")
     put(tmp_path / "data", "erp/2026-01-06/payments.json", [{"event_id": "E1"}])
-    put(tmp_path / "data", "erp/2026-01-07/payments.json", [{"event_id": "x" * 500}])
-    monkeypatch.setattr(files, "LONGEST_VALUE", 100)
-    store = Store(spark, str(tmp_path / "store"))
-    for run in (1, 2):
-        files.ingest(store, str(tmp_path / "data"))
-        assert files.raw_events(store).count() == 1
-        found = files.quarantine(store).where(f"ingest_batch = {run}").collect()
-        assert [(Path(r.file_path).parent.name, r.reason) for r in found] == [("2026-01-07", "file too large")]
+    run = lambda: stream_files(store, root, str(tmp_path / "checkpoint")).awaitTermination()
+    run()
+    put(tmp_path / "data", "erp/2026-01-06/payments.json", [{"event_id": "E1 again"}])
+    put(tmp_path / "data", "erp/2026-01-06/loads.json", [{"event_id": "E2"}])
+    run()
+    assert pick(files.raw_events(store), "ingest_batch", "payload") == [
+        (1, '{"event_id":"E1"}'), (2, '{"event_id":"E1 again"}'), (2, '{"event_id":"E2"}')]
 
 
 def test_master_files(spark, tmp_path):
