@@ -21,7 +21,10 @@ from ..operators import (
 )
 from ..plans import exports, facts, reports, silver
 from ..streaming.ingest import stream_latest
-from . import feeds, oracle
+from ..session import scratch_dir
+from ..sources import arrays, files, master
+from ..sources.store import Store
+from . import feeds, landing, oracle
 from .adapters import HORIZON, LINE_VERSION, Model
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -538,6 +541,98 @@ def _silver_rejects(m: Model) -> DataFrame:
     return found.select(F.col("raw_event_key").alias("doc"), "reason")
 
 
+# --- bronze: files, split arrays, folded batches, masters ---------------------------------------
+
+
+@register(
+    "bronze_files",
+    f"""WITH {landing.FILES_SQL}
+SELECT file_path, file_hash, 'erp' AS source_system, event_type, day AS raw_event_date, reason,
+ CASE WHEN reason IS NULL THEN 'event' WHEN reason = 'empty file' THEN 'empty' ELSE 'quarantine' END AS status,
+ CASE WHEN reason IS NULL THEN n ELSE 1 END AS n_rows, CASE WHEN reason IS NULL THEN n - 1 END AS last_pos FROM named""",
+)
+def _bronze_files(m: Model) -> DataFrame:
+    """What becomes of each file: hash, what its path says, repeats dropped, broken ones named."""
+    keys = ["file_path", "file_hash", "source_system", "event_type", "raw_event_date", "reason", "status"]
+    return landing.parsed_files(m).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.max("pos").alias("last_pos"))
+
+
+@register(
+    "bronze_events",
+    f"""WITH {landing.FILES_SQL}, placed AS (
+SELECT file_path, file_hash, row_number() OVER (PARTITION BY file_path ORDER BY event_id) - 1 AS pos, record AS payload
+FROM named f JOIN rows r ON f.chunk = r.chunk AND f.event_type = r.event_type WHERE reason IS NULL)
+SELECT file_path, pos, payload, sha256(concat(file_path, '|', file_hash, '|', pos)) AS raw_event_key FROM placed""",
+)
+def _bronze_events(m: Model) -> DataFrame:
+    return landing.parsed_files(m).where("status = 'event'").select("file_path", "pos", "payload", "raw_event_key")
+
+
+@register(
+    "bronze_split_arrays",
+    """SELECT doc_id, source, lang, n_chars, text, row_number() OVER (PARTITION BY doc_id // 2000 ORDER BY doc_id) - 1 AS pos FROM documents""",
+)
+def _bronze_split_arrays(m: Model) -> DataFrame:
+    """The documents as JSON array files, each split at its record ends while it is read."""
+    docs = m.table("documents")
+    record = F.to_json(F.struct(*(docs[c] for c in ("doc_id", "source", "lang", "n_chars", "text"))))
+    folder = landing.write_arrays(docs, record, docs["doc_id"], "documents")
+    listed = m.spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    _, records = arrays.split(m.spark, files.paths(listed), files.elements)
+    doc = p.parsed(F.col("payload"))
+    return records.select(
+        p.number(doc, "doc_id", "bigint").alias("doc_id"),
+        p.text(doc, "source").alias("source"),
+        p.text(doc, "lang").alias("lang"),
+        p.number(doc, "n_chars", "bigint").alias("n_chars"),
+        p.text(doc, "text").alias("text"),
+        "pos",
+    )
+
+
+@register(
+    "bronze_folded_batches",
+    """SELECT event_id, user_id, event_type, value, event_id % 12 + 1 AS delivery FROM events WHERE event_id % 12 + 1 BETWEEN 3 AND 10""",
+)
+def _bronze_folded(m: Model) -> DataFrame:
+    """A range of deliveries out of folders that were folded over its edges."""
+    store = Store(m.spark, scratch_dir(m.spark, "folded"))
+    rows = m.table("events").select("event_id", "user_id", "event_type", "value", (F.col("event_id") % 12 + 1).alias("delivery"))
+    for delivery in range(1, 13):
+        store.add_batch("events", rows.where(F.col("delivery") == delivery), delivery)
+    store.fold("events", fan=4)
+    return store.batches("events", after=2, upto=10)
+
+
+@register(
+    "master_customers",
+    """SELECT concat('CUST-', c_custkey) AS customer_id, c_name AS company_name, c_mktsegment AS segment,
+ concat('{"city":"', c_nationkey, '","lines":["', c_mktsegment, '"]}') AS primary_address, '[7,12]' AS shutdown_months, cast(c_acctbal AS double) AS credit_limit FROM customer""",
+)
+def _master_customers(m: Model) -> DataFrame:
+    """A master file with nested columns, kept as JSON text."""
+    rows = m.table("customer")
+    record = F.to_json(F.expr(
+        "named_struct('customer_id', concat('CUST-', c_custkey), 'company_name', c_name, 'segment', c_mktsegment, 'credit_limit', cast(c_acctbal AS decimal(18,2)),"
+        " 'primary_address', named_struct('lines', array(c_mktsegment), 'city', cast(c_nationkey AS string)), 'shutdown_months', array(7, 12))"
+    ))
+    folder = landing.write_arrays(rows, record, rows["c_custkey"], "customers")
+    read = master.read_master(m.spark, folder.rsplit("/", 1)[0], "customers")
+    return read.select("customer_id", "company_name", "segment", "primary_address", "shutdown_months", "credit_limit")
+
+
+@register(
+    "staging_counts",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({feeds.expected_sql(feed, '1')}) t"
+        for name, feed in feeds.FEEDS.items()
+    ),
+)
+def _staging_counts(m: Model) -> DataFrame:
+    """Rows of every staging table."""
+    return reports.table_counts({name: silver.load(feeds.raw_events(m, feed), name) for name, feed in feeds.FEEDS.items()})
+
+
 # --- streaming -------------------------------------------------------------------------------
 
 

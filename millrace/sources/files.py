@@ -100,7 +100,7 @@ def _keyed(rows: DataFrame) -> DataFrame:
     )
 
 
-def _elements(body: Column) -> Column:
+def elements(body: Column) -> Column:
     """Canonical text of each record; NULL (or a NULL inside) where the file cannot be read.
 
     JSON readers stop at the end of the first document. The body is read as the only element of an
@@ -127,17 +127,17 @@ def parse(files: DataFrame) -> DataFrame:
         F.sha2("content", 256).alias("file_hash"),
         F.try_validate_utf8(F.col("content").cast("string")).alias("body"),
     )
-    read = read.withColumns(_from_path(F.col("file_path"))).withColumn("records", _elements(F.col("body"))).drop("body")
+    read = read.withColumns(_from_path(F.col("file_path"))).withColumn("records", elements(F.col("body"))).drop("body")
     broken = F.coalesce(F.exists("records", lambda r: r.isNull()), F.lit(True))
     read = read.withColumn("reason", _reason(broken, F.size("records")))
     records = F.when(F.col("reason").isNull(), F.array_distinct("records"))
     return _keyed(read.select("*", F.posexplode_outer(records).alias("pos", "payload")))
 
 
-def parse_split(spark: SparkSession, paths: Sequence[str], known: DataFrame | None = None) -> DataFrame:
+def parse_split(spark: SparkSession, long: Sequence[str], known: DataFrame | None = None) -> DataFrame:
     """The same rows for files of any length. Files whose (path, hash) is `known` are left out."""
-    found, records = arrays.split(spark, paths, _elements)
-    wanted = spark.createDataFrame([(path,) for path in paths], "file_path string")
+    found, records = arrays.split(spark, long, elements)
+    wanted = spark.createDataFrame([(path,) for path in long], "file_path string")
     files = wanted.join(found, "file_path", "left")
     if known is not None:
         files = changed_only(files, known, ["file_path", "file_hash"])
@@ -183,14 +183,14 @@ def candidates(store: Store, listed: DataFrame, verify: bool = False) -> DataFra
     return changed_only(listed, known.withColumnRenamed("file_path", "path"), STAMP)
 
 
-def _paths(files: DataFrame) -> list[str]:
+def paths(files: DataFrame) -> list[str]:
     """Paths to read. Paths only: the driver's own listing of the tree holds more of them."""
     return sorted(files.agg(F.collect_list("path")).first()[0])
 
 
-def _content(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+def _content(spark: SparkSession, wanted: Sequence[str]) -> DataFrame:
     reader = spark.read.format("binaryFile")
-    return reader.load([arrays.literally(path) for path in paths])
+    return reader.load([arrays.literally(path) for path in wanted])
 
 
 def changed_files(store: Store, listed: DataFrame, verify: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -203,7 +203,7 @@ def changed_files(store: Store, listed: DataFrame, verify: bool = False) -> tupl
     if known is None:
         return found, found.where("false")
     short = found.where(F.col("length") <= LONGEST_ROW)
-    rewritten = _paths(short.join(known.select(F.col("file_path").alias("path")), "path", "left_semi"))
+    rewritten = paths(short.join(known.select(F.col("file_path").alias("path")), "path", "left_semi"))
     if not rewritten:
         return found, found.where("false")
     prints = _content(store.spark, rewritten).select("path", F.sha2("content", 256).alias("file_hash"))
@@ -222,7 +222,7 @@ def write_batch(
     """
     spark, batch = store.spark, store.last_batch(LEDGER) + 1
     number = F.lit(batch).cast("bigint")
-    short, long = (_paths(files.where(rule)) for rule in (F.col("length") <= LONGEST_ROW, F.col("length") > LONGEST_ROW))
+    short, long = (paths(files.where(rule)) for rule in (F.col("length") <= LONGEST_ROW, F.col("length") > LONGEST_ROW))
     known = ledger(store)
     parts = [parse(_content(spark, short))] if short else []
     parts += [parse_split(spark, long, known)] if long else []

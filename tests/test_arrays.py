@@ -65,7 +65,7 @@ def test_split_equals_whole(spark, tmp_path, block):
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(block))
     spark.conf.set("spark.sql.files.openCostInBytes", "1")
     try:
-        found, records = arrays.split(spark, sorted(names), files._elements)
+        found, records = arrays.split(spark, sorted(names), files.elements)
         broken = {r.file_path: r.broken for r in found.collect()}
         rows = sorted((r.file_path, r.pos, r.payload) for r in records.collect())
     finally:
@@ -94,7 +94,7 @@ def test_one_file_fills_many_tasks_and_its_hash_does_not_depend_on_the_cuts(spar
         try:
             parts = arrays._fragments(spark, [f"file:{path}"]).select("block").distinct().count()
             assert parts > 10 if block == 3000 else parts == 1
-            found, rows = arrays.split(spark, [f"file:{path}"], files._elements)
+            found, rows = arrays.split(spark, [f"file:{path}"], files.elements)
             hashes.add(found.first().file_hash)
             got = [json.loads(r.payload) for r in rows.orderBy("pos").collect()]
         finally:
@@ -104,7 +104,7 @@ def test_one_file_fills_many_tasks_and_its_hash_does_not_depend_on_the_cuts(spar
         assert got == records
     assert len(hashes) == 1
     path.write_text(json.dumps(records[::-1]))
-    assert arrays.split(spark, [f"file:{path}"], files._elements)[0].first().file_hash not in hashes
+    assert arrays.split(spark, [f"file:{path}"], files.elements)[0].first().file_hash not in hashes
 
 
 def test_parts_beyond_any_value_are_reported(spark, tmp_path, monkeypatch):
