@@ -500,7 +500,7 @@ def _month_end_exposure(m: Model) -> DataFrame:
 def _silver_query(table: str):
     def build(m: Model) -> DataFrame:
         rows = silver.load(feeds.raw_events(m, feeds.FEEDS[table]), table)
-        rows = rows.drop(*silver.LINEAGE, "payload")
+        rows = rows.drop(*silver.LINEAGE, "payload", silver.BAD)
         if table == "orders":
             rows = rows.withColumn("order_timestamp", F.to_date("order_timestamp"))
         return rows
@@ -541,6 +541,24 @@ def _silver_rejects(m: Model) -> DataFrame:
     return found.select(F.col("raw_event_key").alias("doc"), "reason")
 
 
+_BAD_DOC = """named_struct('event_id', concat('PAY-', o_orderkey), 'simulation_date', CASE WHEN o_orderkey % 6 = 1 THEN 'soon' WHEN o_orderkey % 6 = 2 THEN '' ELSE date_format(o_orderdate, 'yyyy-MM-dd') END,
+ 'customer_id', concat('CUST-', o_custkey), 'payment_amount_pln', CASE WHEN o_orderkey % 9 = 0 THEN 'n/a' WHEN o_orderkey % 9 = 1 THEN '[1]' WHEN o_orderkey % 9 <> 2 THEN cast(cast(o_totalprice AS decimal(15,2)) AS string) END,
+ 'payment_behaviour', 'late', 'balance_before_pln', 1, 'balance_after_pln', CASE WHEN o_orderkey % 4 = 0 THEN 'true' ELSE ' ' END)"""
+
+
+@register(
+    "dq_bad_values",
+    """SELECT concat('PAY-', o_orderkey) AS event_id, CASE WHEN o_orderkey % 6 NOT IN (1, 2) THEN cast(o_orderdate AS date) END AS payment_date,
+ CASE WHEN o_orderkey % 9 > 2 THEN cast(o_totalprice AS double) END AS amount, cast(1 AS double) AS balance_before, cast(NULL AS double) AS balance_after,
+ concat_ws(',', CASE WHEN o_orderkey % 6 = 1 THEN 'bad_payment_date' END, CASE WHEN o_orderkey % 9 IN (0, 1) THEN 'bad_amount' END,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'bad_balance_after' END) AS bad_values FROM orders""",
+)
+def _dq_bad_values(m: Model) -> DataFrame:
+    """Values of the wrong type: NULL and told, unlike values that are missing or blank."""
+    rows = silver.load(feeds.raw_events(m, feeds.Feed("orders", "'payments'", _BAD_DOC, "", "")), "payments")
+    return rows.select("event_id", "payment_date", "amount", "balance_before", "balance_after", F.col(silver.BAD).alias("bad_values"))
+
+
 # --- bronze: files, split arrays, folded batches, masters ---------------------------------------
 
 

@@ -19,6 +19,11 @@ def text(source: Column, name: str) -> Column:
     return F.try_variant_get(source, f"$.{name}", "string")
 
 
+def given(source: Column, name: str) -> Column:
+    """Whether a field holds anything: neither missing, nor null, nor a blank text."""
+    return F.nullif(F.trim(text(source, name)), F.lit("")).isNotNull()
+
+
 def number(source: Column, name: str, type_: str = "decimal(15,4)") -> Column:
     return F.try_variant_get(source, f"$.{name}", type_)
 

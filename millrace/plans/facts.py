@@ -142,9 +142,9 @@ def fact_order_lines(
 ) -> DataFrame:
     """Order lines priced in PLN, with the lines of delivered orders marked as shipped."""
     heads = priced_orders(_rename_lineage(orders, "raw_order_event"), rates, dim_customer, loads, h)
-    heads = heads.drop("ingest_batch", "raw_event_date", "file_path", "pos", "_dq_flags", "ingested_at")
+    heads = heads.drop("ingest_batch", "raw_event_date", "file_path", "pos", "_dq_flags", "_bad_values", "ingested_at")
     lines = _rename_lineage(order_lines, "raw_line_event")
-    lines = lines.drop("ingest_batch", "raw_event_date", "file_path", "pos", "_dq_flags", "ingested_at")
+    lines = lines.drop("ingest_batch", "raw_event_date", "file_path", "pos", "_dq_flags", "_bad_values", "ingested_at")
     if backorders is None:
         lines = lines.withColumn("__escalated", F.lit(None).cast("boolean"))
     else:

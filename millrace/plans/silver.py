@@ -28,6 +28,7 @@ from ..operators import flags, reject_reason, upsert_guarded, upsert_latest
 
 # Order of arrival: batch, event date, file, position in the file.
 ARRIVAL = ["ingest_batch", "raw_event_date", "file_path", "pos"]
+BAD = "_bad_values"
 LINEAGE = ["raw_event_key", *ARRIVAL]
 
 DOC, LINE, PERIOD = "doc", "line", "period"
@@ -56,16 +57,38 @@ def text(source: str, name: str) -> Expr:
     return lambda: p.text(F.col(source), name)
 
 
-def integer(source: str, name: str) -> Expr:
-    return lambda: p.integer(F.col(source), name)
+@dataclass(frozen=True)
+class Typed:
+    """A field of a type. A value that is there but is not of that type becomes NULL, and `bad` tells it."""
+
+    source: str
+    name: str
+    read: Callable[[Column, str], Column]
+    probe: Callable[[Column, str], Column] | None = None  # what must succeed, if that is not the reading itself
+
+    def __call__(self) -> Column:
+        return self.read(F.col(self.source), self.name)
+
+    def bad(self) -> Column:
+        """The text of the field is looked at only where the typed value is NULL."""
+        value = (self.probe or self.read)(F.col(self.source), self.name)
+        return F.when(value.isNull(), p.given(F.col(self.source), self.name))
+
 
+def integer(source: str, name: str) -> Typed:
+    return Typed(source, name, p.integer)
 
-def number(source: str, name: str, type_: str = "decimal(15,4)") -> Expr:
-    return lambda: p.number(F.col(source), name, type_)
 
+def number(source: str, name: str, type_: str = "decimal(15,4)") -> Typed:
+    return Typed(source, name, lambda column, field_: p.number(column, field_, type_))
 
-def day(source: str, name: str) -> Expr:
-    return lambda: p.day(F.col(source), name)
+
+def day(source: str, name: str) -> Typed:
+    return Typed(source, name, p.day)
+
+
+def boolean(source: str, name: str) -> Typed:
+    return Typed(source, name, p.boolean)
 
 
 def event_date() -> Column:
@@ -86,8 +109,11 @@ def event_id_or_raw() -> Column:
     )
 
 
-def quantity_in_range(name: str) -> Expr:
-    return lambda: within_limit(p.integer(F.col(DOC), name))
+def quantity_in_range(name: str) -> Typed:
+    """An integer up to the limit; one beyond it is a number, hence not bad."""
+    return Typed(
+        DOC, name, lambda column, field_: within_limit(p.integer(column, field_)), lambda column, field_: p.number(column, field_, "double")
+    )
 
 
 def quantity_overflow(name: str) -> Expr:
@@ -110,7 +136,7 @@ SPECS: dict[str, Spec] = {
             "status": text(DOC, "status"),
             "currency": text(DOC, "currency"),
             "priority": text(DOC, "priority"),
-            "order_timestamp": lambda: p.instant(F.col(DOC), "timestamp"),
+            "order_timestamp": Typed(DOC, "timestamp", p.instant),
             "simulation_date": day(DOC, "simulation_date"),
             "requested_delivery_date": day(DOC, "requested_delivery_date"),
             "sales_channel": text(DOC, "sales_channel"),
@@ -252,7 +278,7 @@ SPECS: dict[str, Spec] = {
             "sku": text(DOC, "sku"),
             "quantity": quantity_in_range("quantity_backordered"),
             "reason": text(DOC, "backorder_reason"),
-            "escalated_to_express": lambda: p.boolean(F.col(DOC), "escalated_to_express"),
+            "escalated_to_express": boolean(DOC, "escalated_to_express"),
         },
         flags=[SYNTHETIC_KEY, (quantity_overflow("quantity_backordered"), "qty_overflow")],
     ),
@@ -515,6 +541,7 @@ def stage(raw: DataFrame, table: str, watch: Observation | None = None) -> DataF
 
     `watch` counts the documents that are dropped without a reject, as `skipped`, in that same pass.
 
+    A value of the wrong type becomes NULL and is named in `_bad_values` as `bad_<column>`; in a key it rejects the row.
     `_reason` is NULL for a good row. `payload` stays where it is still needed: on rejects, and on
     rows whose natural key may be NULL.
 
@@ -533,7 +560,11 @@ def stage(raw: DataFrame, table: str, watch: Observation | None = None) -> DataF
         events = events.withColumn(alias, F.explode(p.elements(F.col(source), name)))
     raised = [(rule(), flag if isinstance(flag, str) else flag()) for rule, flag in spec.flags]
     built = {name: build() for name, build in spec.columns.items()}
+    typed = {name: build for name, build in spec.columns.items() if isinstance(build, Typed)}
+    bad = [(build.bad(), f"bad_{name}") for name, build in typed.items()]
     rules = [(rule(), why) for rule, why in spec.rejects]
+    # A key that cannot be read is no NULL key.
+    rules += [(typed[name].bad(), f"bad {name}") for name in spec.keys if name in typed]
     rules += [(built[name].isNull(), f"null {name}") for name in spec.required]
     reason = reject_reason(*rules)
     payload = F.col("payload")
@@ -545,6 +576,7 @@ def stage(raw: DataFrame, table: str, watch: Observation | None = None) -> DataF
         payload.alias("payload"),
         reason.alias("_reason"),
         flags(*raised).alias("_dq_flags"),
+        flags(*bad).alias(BAD),
         *[column.alias(name) for name, column in built.items()],
     )
 
