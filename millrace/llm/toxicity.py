@@ -5,7 +5,9 @@ stretch each takes up in its word (normalised, so a word meets itself at 1). Let
 or put in, so "idi-ot", "id1ot" and "idioot" stay close to "idiot"; separators inside a word are dropped, and
 letters spelled out one by one are read as one word.
 
-Landmarks are words that set toxic training documents apart, with some common words beside them. The three-letter
+Landmarks are words that set toxic training documents apart, with some common words beside them. Each word of the sample is
+tested against chance by its likelihood ratio; of the words tested, those are taken among which a share of `FALSE_SHARE` at most
+is expected to be there by chance. How clear a word must be thus follows from the sample. The three-letter
 subsequences of all landmarks form a small vocabulary; the kernel values of a word are a product over it. A
 document, whose sentences share its label, is described by its best match with each landmark (matches below
 `FLOOR` count as 0), once as it is and once to the power `SHARP`, which is again a kernel and tells a word from
@@ -13,15 +15,17 @@ its near relatives. The Nystroem map turns these values into coordinates in whic
 support vector machine with squared hinge loss separates them. Its margin is turned into a probability.
 
 Fitting uses a bounded sample of labelled rows (`rows` of each label, the least by a hash of the id); nothing
-else is sampled: every text is read whole.
+else is sampled: every text is read whole. What a worker remembers of words is bounded in bytes.
 
 Defined results: null and empty texts have no words and get the score of "no match". Where the sample lacks one
 of the labels, every score is the share of label 1 in it (0 without any label). Labels that are null or whose id
-is null are not used; of several labels of one id the largest holds.
+is null are not used; of several labels of one id the largest holds, and of several rows of one id
+the text with the least hash is learnt from. An empty table has no scores. Repeated rows get equal scores.
 """
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from dataclasses import dataclass
@@ -32,12 +36,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import words as W
-from .common import prepare
+from .common import prepare, stored
 
 DECAY, FLOOR, SHARP, LONGEST = 0.6, 0.5, 8, 20
 ROWS, LANDMARKS, COMMON = 4000, 160, 8
-KNOWN = 3_000_000  # words a worker remembers
-TELLING = 24.0  # how clearly a word must lean to label 1 to become a landmark
+PENALTIES = (1e-4, 3e-4, 1e-3, 3e-3, 1e-2)  # tried on the sample itself
+KNOWN_BYTES = 16 << 20  # what a worker remembers of words without a match, and of words with one
+FALSE_SHARE, LEAST_TEXTS = 0.05, 3  # of landmarks that may be there by chance; texts a word must stand in to be tested
 
 _PARTS = re.compile(r"[^\W_]+")
 _SYMBOLS = 64
@@ -245,9 +250,9 @@ class Matcher:
             values = self.landmarks.values([f for f, _ in flat])
             alive = np.flatnonzero(values.any(axis=1))
             note(np.array([i for _, i in flat])[alive], values[alive])
-        if len(self.far) > KNOWN:
+        if self.far.nbytes > KNOWN_BYTES:
             self.far = np.zeros(0, np.uint64)
-        if len(self.near) > KNOWN // 30:
+        if len(self.near) * (4 * len(self.landmarks.words) + 200) > KNOWN_BYTES:
             self.near = {}
         alive = np.zeros(len(hashes), bool)
         alive[list(best)] = True
@@ -257,7 +262,7 @@ class Matcher:
     def matches(self, texts: pa.Array) -> np.ndarray:
         """Best match of each text with each landmark."""
         best = np.zeros((len(texts), len(self.landmarks.words)), np.float32)
-        for begin, end in W.slices(texts, 4 << 20):
+        for begin, end in W.slices(texts):
             distinct, spellings, token, owner = tokens(texts.slice(begin, end - begin))
             if not len(distinct):
                 continue
@@ -333,6 +338,20 @@ def _svm(x: np.ndarray, y: np.ndarray, penalty: float) -> tuple[np.ndarray, floa
     return w[:-1], float(w[-1])
 
 
+def _penalty(x: np.ndarray, y: np.ndarray, folds: int = 5) -> float:
+    """The penalty of `PENALTIES` whose margins, calibrated on the other folds, predict a left-out fold best."""
+    fold, losses = np.arange(len(y)) % folds, dict.fromkeys(PENALTIES, 0.0)
+    for k in range(folds):
+        own, rest = fold == k, fold != k
+        if not own.any() or abs(y[rest].sum()) == rest.sum():
+            continue
+        for penalty in PENALTIES:
+            weights, bias = _svm(x[rest], y[rest], penalty)
+            slope, shift = _calibrate(x[rest] @ weights + bias, y[rest])
+            losses[penalty] += np.logaddexp(0, -y[own] * (slope * (x[own] @ weights + bias) + shift)).sum()
+    return min(PENALTIES, key=losses.get)
+
+
 def _sharpened(best: np.ndarray) -> np.ndarray:
     return np.hstack([best, best**SHARP])
 
@@ -381,7 +400,10 @@ def fit(
     if share in (0.0, 1.0):
         return constant
     sample = spark.createDataFrame(ids, known.schema)
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(sample), "id")
+    # One text of each id, whatever the number of its rows; read again from here on.
+    least = F.min_by("text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    chosen = stored(chosen.groupBy("id", "y").agg(least.alias("text")), "toxic-sample")
 
     def spelled(texts: pa.Array) -> pa.Array:
         out: list[set[str]] = [set() for _ in range(len(texts))]
@@ -393,14 +415,17 @@ def fit(
 
     counts = chosen.select("y", F.explode(F.arrow_udf(spelled, "array<string>")("text")).alias("word"))
     counts = counts.groupBy("word").agg(F.sum("y").alias("hot"), F.sum(1 - F.col("y")).alias("cold"))
+    counts = stored(counts, "toxic-words")
     n_hot, n_cold = float(positive), float(len(ids) - positive)
     common = F.col("hot") + F.col("cold")
-    # Likelihood ratio of "as frequent in both": far above what chance gives the best of very many words.
+    # Likelihood ratio of "as frequent in both".
     even_hot, even_cold = common * (n_hot / (n_hot + n_cold)), common * (n_cold / (n_hot + n_cold))
     telling = 2 * (F.col("hot") * F.log(F.greatest("hot", F.lit(1)) / even_hot)
                    + F.col("cold") * F.log(F.greatest("cold", F.lit(1)) / even_cold))
-    chosen_words = counts.where((F.col("hot") > even_hot) & (telling >= TELLING))
-    words = [r.word for r in chosen_words.orderBy(telling.desc(), "word").limit(landmarks).collect()]
+    tested = counts.where(common >= LEAST_TEXTS)
+    ranked = tested.where(F.col("hot") > even_hot).select("word", telling.alias("ratio"))
+    best = ranked.orderBy(F.col("ratio").desc(), "word").limit(landmarks).collect()
+    words = [r.word for r in best[: _beyond_chance([r.ratio for r in best], tested.count())]]
     words += [r.word for r in counts.orderBy(common.desc(), "word").limit(COMMON).collect() if r.word not in words]
     if not words:
         return constant
@@ -408,7 +433,8 @@ def fit(
     def described(texts: pa.Array) -> pa.Array:
         return pa.array(list(matcher(words).matches(texts)), pa.list_(pa.float32()))
 
-    got = chosen.select("y", F.arrow_udf(described, "array<float>")("text").alias("x")).collect()
+    got = chosen.select("id", "y", F.arrow_udf(described, "array<float>")("text").alias("x")).collect()
+    got = sorted(got, key=lambda r: str(r.id))
     x = np.array([r.x for r in got]).reshape(len(got), len(words))
     y = np.array([1.0 if r.y else -1.0 for r in got])
     if len(got) == 0 or abs(y.sum()) == len(y):
@@ -419,11 +445,20 @@ def fit(
     root = np.zeros((2 * n, 2 * n))
     root[:n, :n], root[n:, n:] = _inverse_root(gram), _inverse_root(gram**SHARP)
     coordinates = _sharpened(x) @ root
-    weights, bias = _svm(coordinates, y, penalty=1e-4)
+    weights, bias = _svm(coordinates, y, _penalty(coordinates, y))
     slope, shift = _calibrate(coordinates @ weights + bias, y)
     return Model(words, (root @ weights).tolist(), bias, slope, shift)
 
 
+def _beyond_chance(ratios: list[float], tested: int) -> int:
+    """How many of the greatest likelihood ratios to take so that `FALSE_SHARE` of them at most is expected by chance.
+
+    The step-up rule for the false discovery rate: the last rank k whose chance is at most k / tested times that share.
+    """
+    chance = [0.5 * math.erfc(math.sqrt(max(r, 0.0) / 2)) for r in ratios]
+    return max((k for k, p in enumerate(chance, 1) if p <= FALSE_SHARE * k / tested), default=0)
+
+
 def _inverse_root(gram: np.ndarray) -> np.ndarray:
     value, vector = np.linalg.eigh(gram + 1e-2 * np.eye(len(gram)))
     return (vector / np.sqrt(np.maximum(value, 1e-2))) @ vector.T
