@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.calendar import calendar, days_between
 from ..operators import upsert_guarded, upsert_latest
+from ..sources.arrays import stored
 from ..plans import aggregates, dims, facts
 from ..session import tune
 
@@ -40,6 +41,7 @@ class Model:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = tune(spark)
         self.folder = folder.rstrip("/")
+        self._kept: set[str] = set()
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -383,6 +385,13 @@ class Model:
             }
         )
 
+    def _keep(self, *histories: str) -> None:
+        """Write dimension histories down once, as a run does, for queries in which several facts look them up."""
+        for name in histories:
+            if name not in self._kept:
+                self._kept.add(name)
+                self.__dict__[name] = stored(getattr(self, name), name)
+
     # --- gold --------------------------------------------------------------------------------
 
     @cached_property
@@ -452,12 +461,14 @@ class Model:
 
     @cached_property
     def agg_customer_scorecard(self) -> DataFrame:
+        self._keep("dim_customer", "dim_sku", "rates")
         return aggregates.customer_scorecard(
             self.dim_customer, self.fact_order_lines, self.fact_returns, self.fact_payments, self.fact_credit_events
         )
 
     @cached_property
     def agg_sku_performance(self) -> DataFrame:
+        self._keep("dim_customer", "dim_sku", "rates")
         return aggregates.sku_performance(
             self.dim_sku, self.fact_order_lines, self.fact_inventory_daily, self.fact_returns
         )
@@ -476,6 +487,7 @@ class Model:
 
     @cached_property
     def agg_cash_flow_monthly(self) -> DataFrame:
+        self._keep("dim_customer", "rates")
         return aggregates.cash_flow_monthly(self.fact_order_lines, self.fact_payments, self.fact_credit_events)
 
     @cached_property

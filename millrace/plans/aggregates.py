@@ -6,6 +6,8 @@ per key on both sides and cannot multiply rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import ratio
@@ -43,6 +45,15 @@ def order_metrics_daily(order_lines: DataFrame) -> DataFrame:
     )
 
 
+def _tagged(*sides: DataFrame) -> DataFrame:
+    """Rows of several facts in one table, each with NULLs in the columns of the others.
+
+    One grouping over it replaces a grouping and a join for every fact, so each fact is shuffled once, as
+    partial sums, and all of them in the same exchange.
+    """
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+
+
 def customer_scorecard(
     dim_customer: DataFrame,
     order_lines: DataFrame,
@@ -51,33 +62,46 @@ def customer_scorecard(
     credit_events: DataFrame,
 ) -> DataFrame:
     """One row per current customer. `return_rate` is return lines per shipped unit."""
-    orders = order_lines.groupBy("customer_id").agg(
+    lines = order_lines.select(
+        "customer_id",
+        "order_id",
+        F.lit(1).alias("line"),
+        "line_revenue_pln",
+        "qty_shipped",
+        "qty_ordered",
+        "qty_backordered",
+    )
+    returned = returns.select("customer_id", F.lit(1).alias("return_line"))
+    paid = payments.select(
+        "customer_id",
+        F.lit(1).alias("payment"),
+        (F.col("payment_behaviour") == "on_time").alias("on_time"),
+        F.struct("payment_date", "event_id").alias("paid_at"),
+        "balance_after",
+    )
+    credit = credit_events.select(
+        "customer_id",
+        (F.col("event_subtype") == "credit_hold").alias("hold"),
+        F.struct("event_date", "event_id").alias("credit_at"),
+        "utilisation_pct",
+    )
+    sums = _tagged(lines, returned, paid, credit).groupBy("customer_id").agg(
         F.sum("line_revenue_pln").alias("revenue_pln_total"),
         F.countDistinct("order_id").alias("orders_count"),
-        _count("lines_count"),
+        F.count("line").alias("lines_count"),
         F.sum("qty_shipped").alias("__shipped"),
         F.sum("qty_ordered").alias("__ordered"),
         F.sum("qty_backordered").alias("__backordered"),
-    )
-    returned = returns.groupBy("customer_id").agg(_count("__return_lines"))
-    paid = payments.groupBy("customer_id").agg(
-        _count("payments_count"),
-        F.count_if(F.col("payment_behaviour") == "on_time").alias("__on_time"),
-        latest_value(F.col("balance_after"), F.col("payment_date"), F.col("event_id")).alias(
-            "latest_balance"
-        ),
-    )
-    credit = credit_events.groupBy("customer_id").agg(
-        latest_value(F.col("utilisation_pct"), F.col("event_date"), F.col("event_id")).alias(
-            "credit_utilisation_pct"
-        ),
-        F.count_if(F.col("event_subtype") == "credit_hold").alias("credit_hold_count"),
+        F.nullif(F.count("return_line"), F.lit(0)).alias("__return_lines"),
+        F.count("payment").alias("payments_count"),
+        F.count_if("on_time").alias("__on_time"),
+        # Rows of other facts have no time here, and `max_by` passes over them.
+        F.max_by("balance_after", "paid_at").alias("latest_balance"),
+        F.max_by("utilisation_pct", "credit_at").alias("credit_utilisation_pct"),
+        F.count_if("hold").alias("credit_hold_count"),
     )
     current = dim_customer.where("is_current").select("customer_id", "company_name", "segment", "region")
-    joined = current
-    for side in (orders, returned, paid, credit):
-        joined = joined.join(side, "customer_id", "left")
-    return joined.select(
+    return current.join(sums, "customer_id", "left").select(
         "customer_id",
         "company_name",
         "segment",
@@ -89,7 +113,7 @@ def customer_scorecard(
         ratio(F.col("__backordered"), F.col("__ordered")).alias("backorder_rate"),
         ratio(F.col("__return_lines"), F.col("__shipped")).alias("return_rate"),
         _zero("payments_count"),
-        ratio(F.col("__on_time"), F.col("payments_count")).alias("on_time_payment_rate"),
+        ratio(F.col("__on_time"), F.nullif("payments_count", F.lit(0))).alias("on_time_payment_rate"),
         "latest_balance",
         "credit_utilisation_pct",
         _zero("credit_hold_count"),
@@ -100,21 +124,20 @@ def sku_performance(
     dim_sku: DataFrame, order_lines: DataFrame, inventory: DataFrame, returns: DataFrame
 ) -> DataFrame:
     """One row per current SKU. Stock-out days count each warehouse and day."""
-    orders = order_lines.groupBy("sku").agg(
+    lines = order_lines.select("sku", "line_revenue_pln", "qty_shipped", "qty_ordered", "qty_backordered")
+    stock = inventory.select("sku", "stockout_flag", "below_safety_stock")
+    returned = returns.select("sku", "qty_returned")
+    sums = _tagged(lines, stock, returned).groupBy("sku").agg(
         F.sum("line_revenue_pln").alias("revenue_pln_total"),
         F.sum("qty_shipped").alias("units_sold"),
         F.sum("qty_ordered").alias("units_ordered"),
         F.sum("qty_backordered").alias("units_backordered"),
-    )
-    stock = inventory.groupBy("sku").agg(
+        F.sum("qty_returned").alias("units_returned"),
         F.count_if("stockout_flag").alias("stockout_days"),
         F.count_if("below_safety_stock").alias("days_below_safety_stock"),
     )
-    returned = returns.groupBy("sku").agg(F.sum("qty_returned").alias("units_returned"))
-    joined = dim_sku.where("is_current").select("sku", "valve_type", "dn", "material", "is_active")
-    for side in (orders, stock, returned):
-        joined = joined.join(side, "sku", "left")
-    return joined.select(
+    current = dim_sku.where("is_current").select("sku", "valve_type", "dn", "material", "is_active")
+    return current.join(sums, "sku", "left").select(
         "sku",
         "valve_type",
         "dn",

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from ..session import tune
 from ..sources import files, master
 from ..sources.store import Store
-from . import aggregates, dims, exports, facts, silver
+from . import aggregates, dims, exports, facts, reports, silver
 from .facts import Horizon
 
 METRICS = "run_metrics"
@@ -27,6 +27,14 @@ AGGREGATES = (
     "agg_carrier_scorecard", "agg_demand_accuracy", "agg_cash_flow_monthly", "agg_production_quality",
 )
 GOLD = DIMENSIONS + FACTS + AGGREGATES
+# Tables that are stored and listed in an order of their own.
+ORDER = {
+    "dim_date": ["date_id"],
+    "dim_carrier": ["carrier_code"],
+    "dim_warehouse": ["warehouse_code"],
+    "agg_order_metrics_daily": ["agg_date"],
+    "agg_cash_flow_monthly": ["year", "month"],
+}
 
 
 def _name(table: str) -> str:
@@ -79,7 +87,7 @@ class Refresh:
 
     def _snapshot(self, table: str, df: DataFrame, batch: int) -> DataFrame:
         watched, seen = self._observed(table, df)
-        self.store.add_snapshot(table, watched, batch)
+        self.store.add_snapshot(table, watched, batch, ORDER.get(table, ()))
         self._note(table, seen)
         return self.store.snapshot(table, upto=batch)
 
@@ -237,6 +245,18 @@ class Refresh:
         found = {name: self.store.snapshot(name, upto=self._visible()) for name in GOLD}
         return {name: df for name, df in found.items() if df is not None}
 
+    def listed(self, table: str) -> DataFrame:
+        """A gold table in its order, or a report as a listing by section and item."""
+        tables = self.tables()
+        if table in ORDER:
+            return tables[table].orderBy(*ORDER[table])
+        build = {
+            "dimension_report": reports.dimension_report,
+            "aggregate_report": reports.aggregate_report,
+            "order_fact_report": lambda t: reports.order_fact_report(t["fact_order_lines"]),
+        }
+        return build[table](tables).orderBy("section", "item")
+
     def _publish(self, run: int) -> dict[str, DataFrame]:
         self.store.publish(RUN, run)
         tables = self.tables()

@@ -44,9 +44,14 @@ def build_session(app: str = "millrace", master: str | None = None, **extra: str
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder that all executors share.
 
-    It lies under the checkpoint folder the cluster names; where none is named, under the warehouse.
+    It lies under the checkpoint folder the cluster names; where none is named, under the warehouse. On a cluster a
+    warehouse on the driver's own disk is no shared folder, and there is no scratch folder then.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        alone = spark.sparkContext.master.split("[")[0] == "local"
+        if not alone and (warehouse.startswith("file:") or "://" not in warehouse):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = f"{warehouse}/_scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -66,7 +66,10 @@ class Store:
     def add_batch(self, table: str, df: DataFrame, batch: int, partition_by: Sequence[str] = ()) -> None:
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.folder(table)}/batch={batch:08d}")
 
-    def add_snapshot(self, table: str, df: DataFrame, batch: int) -> None:
+    def add_snapshot(self, table: str, df: DataFrame, batch: int, order: Sequence[str] = ()) -> None:
+        """Write a full state. With `order`, each file holds a range of it, sorted: ranges are then read from few files."""
+        if order:
+            df = df.repartitionByRange(*order).sortWithinPartitions(*order)
         df.write.mode("overwrite").parquet(f"{self.folder(table)}/snap={batch:08d}")
 
     def batches(

@@ -6,6 +6,7 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from millrace.plans import exports
 from millrace.plans.refresh import Refresh
@@ -232,6 +233,21 @@ def test_gold(world):
     assert [(r.carrier_name, r.order_ids) for r in rows.collect()] == [("D", "O1,O9")]
 
 
+def test_listings_are_ordered(world):
+    """In the order asked for, over all partitions; the files of a stored table hold ranges of it."""
+    _, store, refresh, tables = world
+    for name, by in (("dim_date", "date_id"), ("dim_warehouse", "warehouse_code")):
+        got = [r[by] for r in refresh.listed(name).collect()]
+        assert got == sorted(got) and len(got) == tables[name].count()
+    months = [(r.year, r.month) for r in refresh.listed("agg_cash_flow_monthly").collect()]
+    assert months == sorted(months)
+    spans = tables["dim_date"].groupBy(F.input_file_name()).agg(F.min("date_id"), F.max("date_id")).collect()
+    spans = sorted((r[1], r[2]) for r in spans)
+    assert all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    report = [(r.section, r.item) for r in refresh.listed("order_fact_report").collect()]
+    assert report == sorted(report) and ("fact_order_lines", "total_rows") in report
+
+
 def test_second_run_adds_nothing_and_changed_files_are_absorbed(world):
     base, store, refresh, tables = world
     before = {name: df.count() for name, df in tables.items()}
