@@ -11,7 +11,8 @@ Fitting uses a bounded sample of rated rows (`rows` of each grade, the least by
 
 Defined results: null and empty texts have only the features of "no words". With ratings of one grade only, that
 grade is certain; with none, the expected grade is 0. Null ratings and ids are not used; of several ratings of one id
-the largest holds.
+the largest holds, and of several rows of one id the text with the least hash is learnt from. Repeated rows get equal
+results; an empty table has none.
 """
 
 from __future__ import annotations
@@ -166,6 +167,9 @@ def fit(
 
     chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     chosen = chosen.join(F.broadcast(sample), "id")
+    # One text of each id before anything is collected, whatever the number of its rows.
+    least = F.min_by("text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    chosen = chosen.groupBy("id", "grade").agg(least.alias("text"))
     found = chosen.select("id", "grade", F.arrow_udf(packed, "binary")("text").alias("x")).collect()
     found = sorted(found, key=lambda r: (r.id, r.grade, bytes(r.x)))
     grade = np.array([r.grade for r in found], np.int64)

@@ -41,7 +41,7 @@ from .common import prepare, stored
 DECAY, FLOOR, SHARP, LONGEST = 0.6, 0.5, 8, 20
 ROWS, LANDMARKS, COMMON = 4000, 160, 8
 PENALTIES = (1e-4, 3e-4, 1e-3, 3e-3, 1e-2)  # tried on the sample itself
-KNOWN_BYTES = 16 << 20  # what a worker remembers of words without a match, and of words with one
+FAR_BYTES, NEAR_BYTES = 24 << 20, 48 << 20  # what a worker remembers of words without a match, and of words with one
 FALSE_SHARE, LEAST_TEXTS = 0.05, 3  # of landmarks that may be there by chance; texts a word must stand in to be tested
 
 _PARTS = re.compile(r"[^\W_]+")
@@ -131,6 +131,19 @@ class Landmarks:
             self.slot[u] = i
         self.matrix = np.array([*columns.values()], np.float32).reshape(len(columns), len(self.words))
         self.most = np.append(self.matrix.max(axis=1, initial=0), 0)  # the last one is for what no landmark has
+        self.groups = self._alike()
+        self.group_most = np.stack([self.matrix[:, g].max(axis=1) for g in self.groups], axis=1) if self.words else self.matrix
+
+    def _alike(self) -> list[np.ndarray]:
+        """Landmarks by likeness: each joins the first group whose first one it is near."""
+        groups: list[list[int]] = []
+        for k, word in enumerate(self.words):
+            codes = _codes([word])
+            found, weight = _subsequences(codes)
+            near = weight @ self.matrix[self.slot[found[0]]] / np.sqrt(self_kernel(codes)[0])
+            home = next((g for g in groups if near[g[0]] >= FLOOR), None)
+            groups.append([k]) if home is None else home.append(k)
+        return [np.array(g) for g in groups]
 
     def values(self, found: list[str]) -> np.ndarray:
         """Normalised kernel of each word with each landmark; below `FLOOR` it is 0."""
@@ -159,19 +172,34 @@ class Landmarks:
             norm = np.sqrt(self_kernel(part[near]))
             close = bound[near] >= FLOOR * norm
             near, norm = near[close], norm[close]
-            hit = slots[near] >= 0
             for at in range(0, len(near), 400):
-                row, col = np.nonzero(hit[at : at + 400])
-                share = self.matrix[slots[near[at : at + 400]][row, col]] * weight[col, None].astype(np.float32)
-                value = np.add.reduceat(share, np.searchsorted(row, np.arange(len(near[at : at + 400]))))
-                value /= norm[at : at + 400, None]
-                value[value < FLOOR] = 0
+                value = self._exact(slots[near[at : at + 400]], weight.astype(np.float32), norm[at : at + 400])
                 some = value.any(axis=1)
                 rows.append(begin + near[at : at + 400][some])
                 values.append(value[some])
         return np.concatenate(rows), np.concatenate(values)
 
 
+    def _exact(self, slots: np.ndarray, weight: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        """Kernel values of some words; only groups of landmarks whose bound a word reaches are worked out for it."""
+        row, col = np.nonzero(slots >= 0)
+        slot, weight = slots[row, col], weight[col, None]
+        reach = np.add.reduceat(self.group_most[slot] * weight, np.searchsorted(row, np.arange(len(slots))))
+        reach /= norm[:, None]
+        good = reach >= FLOOR - 1e-5
+        out = np.zeros((len(slots), len(self.words)), np.float32)
+        for g in np.flatnonzero(good.any(axis=0)):
+            columns, rows = self.groups[g], np.flatnonzero(good[:, g])
+            if len(columns) == 1:  # the bound is the value
+                out[rows, columns[0]] = reach[rows, g]
+                continue
+            own = good[row, g]
+            share = self.matrix[slot[own][:, None], columns] * weight[own]
+            out[rows[:, None], columns] = np.add.reduceat(share, np.searchsorted(row[own], rows)) / norm[rows, None]
+        out[out < FLOOR] = 0
+        return out
+
+
 def tokens(texts: pa.Array) -> tuple[np.ndarray, list, np.ndarray, np.ndarray]:
     """Distinct tokens of a batch (hash, and bytes or where they are), and (token, text) of every occurrence."""
     found = W.find(texts)
@@ -216,8 +244,23 @@ class Matcher:
 
     def __init__(self, landmarks: Landmarks):
         self.landmarks = landmarks
-        self.far = np.zeros(0, np.uint64)  # words that match nothing, ascending
-        self.near: dict[int, np.ndarray] = {}
+        self.far: list[np.ndarray] = []  # words that match nothing: ascending runs, each over twice as long as the next
+        self.near: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # landmarks that a word matches, and how well
+        self.near_bytes = 0
+
+    def is_far(self, hashes: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(hashes), bool)
+        for run in self.far:
+            out |= _among(hashes, run)
+        return out
+
+    def _remember(self, far: np.ndarray) -> None:
+        if sum(run.nbytes for run in self.far) > FAR_BYTES:
+            self.far = []
+        far = np.sort(far)
+        while self.far and len(self.far[-1]) <= 2 * len(far):
+            far = np.sort(np.concatenate([self.far.pop(), far]), kind="stable")
+        self.far.append(far)
 
     def learn(self, hashes: np.ndarray, tokens: list[bytes]) -> None:
         """Match words that have not been seen. Most are letters with signs at the ends only: these go by length."""
@@ -250,14 +293,15 @@ class Matcher:
             values = self.landmarks.values([f for f, _ in flat])
             alive = np.flatnonzero(values.any(axis=1))
             note(np.array([i for _, i in flat])[alive], values[alive])
-        if self.far.nbytes > KNOWN_BYTES:
-            self.far = np.zeros(0, np.uint64)
-        if len(self.near) * (4 * len(self.landmarks.words) + 200) > KNOWN_BYTES:
-            self.near = {}
         alive = np.zeros(len(hashes), bool)
         alive[list(best)] = True
-        self.far = np.union1d(self.far, hashes[~alive])
-        self.near.update((int(hashes[r]), value) for r, value in best.items())
+        self._remember(hashes[~alive])
+        if self.near_bytes > NEAR_BYTES:
+            self.near, self.near_bytes = {}, 0
+        for r, value in best.items():
+            columns = np.flatnonzero(value)
+            self.near[int(hashes[r])] = columns.astype(np.int16), value[columns]
+            self.near_bytes += 320 + 6 * len(columns)
 
     def matches(self, texts: pa.Array) -> np.ndarray:
         """Best match of each text with each landmark."""
@@ -266,7 +310,7 @@ class Matcher:
             distinct, spellings, token, owner = tokens(texts.slice(begin, end - begin))
             if not len(distinct):
                 continue
-            far = _among(distinct, self.far)
+            far = self.is_far(distinct)
             rest = np.flatnonzero(~far)
             unknown = [i for i in rest.tolist() if int(distinct[i]) not in self.near]
             if unknown:
@@ -276,7 +320,10 @@ class Matcher:
                 continue
             slot = np.full(len(distinct), -1)
             slot[rows] = np.arange(len(rows))
-            value = np.array([self.near[int(distinct[i])] for i in rows])
+            value = np.zeros((len(rows), len(self.landmarks.words)), np.float32)
+            for k, i in enumerate(rows):
+                columns, found = self.near[int(distinct[i])]
+                value[k, columns] = found
             used = np.flatnonzero(slot[token] >= 0)
             pairs = np.unique(slot[token[used]] * len(texts) + owner[used])
             np.maximum.at(best, pairs % len(texts) + begin, value[pairs // len(texts)])

@@ -1,10 +1,13 @@
+import math
 import random
 
+import llm_brute as brute
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from millrace.llm import quality, queries
+from millrace.llm import words as W
 
 
 def sample(rng, grade):
@@ -75,3 +78,41 @@ def test_query_on_held_out_labels(spark):
     labels = [r for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if rows[r.doc_id].held_out]
     assert len(rows) == 1000
     assert sum(rows[r.doc_id].keep == (r.quality == 1) for r in labels) / len(labels) > 0.9
+
+
+def plain_latent(text, weights):
+    """The definition, word by word."""
+    words = [w.encode() for w in brute.SPACE.findall(text or "")]
+    of = lambda w: int(W.find(pa.array([w], pa.binary()).cast(pa.string())).hash[0])
+    kind = lambda b: (
+        0 if 97 <= b <= 122 else 1 if 65 <= b <= 90 else 2 if 48 <= b <= 57 else 3 if b >= 128 else 4 if b in b",." else 5
+    )
+    cells = {of(w) >> (64 - quality.WORD_BITS) for w in words}
+    total = sum(weights[c] for c in sorted(cells)) / math.sqrt(len(cells)) if cells else 0.0
+    base = 1 << quality.WORD_BITS
+    for w in words:
+        shape = (kind(w[0]) * quality.KINDS + kind(w[-1])) * quality.LENGTHS + min(len(w).bit_length() - 1, quality.LENGTHS - 1)
+        total += weights[base + shape] / len(words)
+    base += quality.KINDS**2 * quality.LENGTHS
+    varied = math.ceil(len(cells) / len(words) * (quality.BINS - 1)) if words else 0
+    total += 0.5 * weights[base + varied]
+    return total + 0.5 * weights[base + quality.BINS + min((len(words) + 1).bit_length() - 1, quality.BINS - 1)]
+
+
+def test_query_against_plain_version(spark):
+    rows = {r.doc_id: r for r in queries.QUERIES["op10_quality"](spark, brute.SF).collect()}
+    docs = spark.read.parquet(f"{brute.SF}/documents.parquet")
+    labels = spark.read.parquet(f"{brute.SF}/labels.parquet").where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0")
+    graded = labels.selectExpr("doc_id", "CASE WHEN quality = 0 THEN 0 ELSE 2 - toxic END AS grade")
+    model = quality.fit(docs, graded, grades=3)
+    weights = model.weights.astype(float)
+    for doc_id, text in docs.select("doc_id", "text").collect():
+        tails = [1 / (1 + math.exp(-(plain_latent(text, weights) - t))) for t in model.thresholds]
+        assert rows[doc_id].expected_grade == pytest.approx(sum(tails), abs=1e-4)
+        assert rows[doc_id].tail_probability == pytest.approx(tails[0], abs=1e-4)
+
+
+def test_rows_of_one_id_are_one_sample(spark, learned):
+    df, ratings, model = learned
+    again = quality.fit(df.unionByName(df.where("doc_id = 3").crossJoin(spark.range(300)).drop("id")), ratings, 3)
+    assert np.allclose(again.weights, model.weights, atol=1e-4)
