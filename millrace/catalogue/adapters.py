@@ -468,7 +468,6 @@ class Model:
 
     @cached_property
     def agg_sku_performance(self) -> DataFrame:
-        self._keep("dim_customer", "dim_sku", "rates")
         return aggregates.sku_performance(
             self.dim_sku, self.fact_order_lines, self.fact_inventory_daily, self.fact_returns
         )
@@ -487,7 +486,6 @@ class Model:
 
     @cached_property
     def agg_cash_flow_monthly(self) -> DataFrame:
-        self._keep("dim_customer", "rates")
         return aggregates.cash_flow_monthly(self.fact_order_lines, self.fact_payments, self.fact_credit_events)
 
     @cached_property
