@@ -17,7 +17,6 @@ import base64
 import hashlib
 import re
 import struct
-import sys
 from heapq import heappop, heappush
 
 import numpy as np
@@ -25,6 +24,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from .common import kept_by_worker
+
 CACHE_PIECES = 500_000
 CACHED_BYTES = 48
 CACHED_PAIRS = 500_000
@@ -221,11 +222,8 @@ class Tokenizer:
             name = hashlib.sha256(lines.read() + pattern.encode()).hexdigest()
 
         def codec() -> Codec:
-            # Kept by the worker process, so that its cache serves all tasks it runs.
-            kept = sys.__dict__.setdefault("_millrace_codecs", {})
-            if name not in kept:
-                kept[name] = Codec(shared.value, pattern)
-            return kept[name]
+            # Its cache serves all tasks that the worker process runs.
+            return kept_by_worker(("codec", name), lambda: Codec(shared.value, pattern))
 
         def encode(texts: pa.Array) -> pa.Array:
             one = codec().encode

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
+from collections.abc import Callable, Hashable
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
 
+T = TypeVar("T")
+
 # An Arrow batch is bounded by its bytes, so that very long texts do not pile up in a Python worker.
 BATCH_BYTES = 8 << 20
 
@@ -43,3 +48,16 @@ def content_key(text: Column) -> list[Column]:
     """96 bits that stand for a text: equal texts share them, null counts as empty."""
     text = F.coalesce(text, F.lit(""))
     return [F.xxhash64(text).alias("key_a"), F.hash(text).alias("key_b")]
+
+
+def kept_by_worker(name: Hashable, build: Callable[[], T]) -> T:
+    """What a Python worker keeps from task to task: one thing at a time.
+
+    Spark runs the tasks of all steps in the same worker processes. What an earlier step kept there is dropped before
+    the next one builds its own, so that the caches of a chain of steps do not add up.
+    """
+    slot = sys.__dict__.setdefault("_millrace_kept", {})
+    if name not in slot:
+        slot.clear()
+        slot[name] = build()
+    return slot[name]

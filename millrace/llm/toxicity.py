@@ -27,7 +27,6 @@ from __future__ import annotations
 
 import math
 import re
-import sys
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -36,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import words as W
-from .common import prepare, stored
+from .common import kept_by_worker, prepare, stored
 
 DECAY, FLOOR, SHARP, LONGEST = 0.6, 0.5, 8, 20
 ROWS, LANDMARKS, COMMON = 4000, 160, 8
@@ -338,12 +337,7 @@ def _among(x: np.ndarray, known: np.ndarray) -> np.ndarray:
 
 def matcher(words: list[str]) -> Matcher:
     """The matcher of these landmarks in this worker process, so that all its tasks share what it knows."""
-    kept = sys.__dict__.setdefault("_millrace_matchers", {})
-    name = "\0".join(words)
-    if name not in kept:
-        kept.clear()
-        kept[name] = Matcher(Landmarks(words))
-    return kept[name]
+    return kept_by_worker(("matcher", *words), lambda: Matcher(Landmarks(words)))
 
 
 @dataclass
