@@ -8,6 +8,7 @@ from .upsert import (
     upsert_guarded,
     upsert_latest,
     upsert_partial,
+    upserted_keys,
 )
 
 __all__ = [
@@ -24,5 +25,6 @@ __all__ = [
     "upsert_guarded",
     "upsert_latest",
     "upsert_partial",
+    "upserted_keys",
     "with_validity",
 ]

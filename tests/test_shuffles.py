@@ -76,3 +76,9 @@ def test_shuffles_are_cut_finely_and_a_larger_number_is_kept(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
         tune(spark)
+
+
+def test_staging_is_counted_without_ordering_rows(spark):
+    """A window per staging table would sort all its rows; the sorts that are left belong to the two joins of lines and orders."""
+    plan = plan_of(spark, "staging_counts")
+    assert "Window" not in plan and plan.count("Sort [") <= 4

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from millrace.operators import insert_if_absent, latest_value, upsert_guarded, upsert_latest, upsert_partial
+from millrace.operators import insert_if_absent, latest_value, upsert_guarded, upsert_latest, upsert_partial, upserted_keys
 
 SCHEMA = "k string, seq int, guard string, v int"
 
@@ -89,3 +89,11 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     plan = upsert_latest(None, df, ["k"], [F.col("seq")])._jdf.queryExecution().executedPlan().toString()
     shuffle = plan.index("Exchange hashpartitioning")
     assert "row_number(), 1, Partial" in plan[shuffle:]
+
+
+def test_keys_of_an_upsert_are_those_of_its_rows(spark):
+    rows = [("a", None, 1, "x"), ("a", None, 2, "x"), ("a", None, 3, "y"), (None, None, 4, "x"), ("a", 1, 5, "x"), ("a", 1, 6, "y"), ("b", 2, 7, "x")]
+    df = spark.createDataFrame(rows, "k string, l int, s int, payload string")
+    for identity in (None, [F.col("payload")]):
+        whole = upsert_latest(None, df, ["k", "l"], [F.col("s")], identity).select("k", "l")
+        assert rows_of(upserted_keys(df, ["k", "l"], identity)) == rows_of(whole)
