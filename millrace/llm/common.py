@@ -61,3 +61,8 @@ def kept_by_worker(name: Hashable, build: Callable[[], T]) -> T:
         slot.clear()
         slot[name] = build()
     return slot[name]
+
+
+def forget() -> None:
+    """Drop what a Python worker keeps of an earlier step; for steps that need room and keep nothing themselves."""
+    sys.__dict__.get("_millrace_kept", {}).clear()

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import words as W
-from .common import kept_by_worker, prepare, stored
+from .common import forget, kept_by_worker, prepare, stored
 
 DECAY, FLOOR, SHARP, LONGEST = 0.6, 0.5, 8, 20
 ROWS, LANDMARKS, COMMON = 4000, 160, 8
@@ -231,6 +231,19 @@ def tokens(texts: pa.Array) -> tuple[np.ndarray, list, np.ndarray, np.ndarray]:
     return distinct, spellings, inverse, np.concatenate(owner)
 
 
+def spelled_forms(texts: pa.Array) -> pa.Array:
+    """The distinct spellings of each text's tokens, a slice of the batch after the other."""
+    parts = [pa.array([], pa.list_(pa.string()))]
+    for begin, end in W.slices(texts):
+        out: list[set[str]] = [set() for _ in range(end - begin)]
+        distinct, spellings, token, owner = tokens(texts.slice(begin, end - begin))
+        found = [forms(t.decode("utf-8", "replace")) for t in spellings(np.arange(len(distinct)))]
+        for t, o in zip(token.tolist(), owner.tolist()):
+            out[o].update(found[t])
+        parts.append(pa.array([sorted(s) for s in out], pa.list_(pa.string())))
+    return pa.concat_arrays(parts)
+
+
 def _separates(o: np.ndarray) -> np.ndarray:
     """Code points that are neither letters nor digits; beyond ASCII, those of the punctuation blocks."""
     plain = ((o >= 97) & (o <= 122)) | ((o >= 48) & (o <= 57)) | ((o >= 65) & (o <= 90))
@@ -447,12 +460,8 @@ def fit(
     chosen = stored(chosen.groupBy("id", "y").agg(least.alias("text")), "toxic-sample")
 
     def spelled(texts: pa.Array) -> pa.Array:
-        out: list[set[str]] = [set() for _ in range(len(texts))]
-        distinct, spellings, token, owner = tokens(texts)
-        found = [forms(t.decode("utf-8", "replace")) for t in spellings(np.arange(len(distinct)))]
-        for t, o in zip(token.tolist(), owner.tolist()):
-            out[o].update(found[t])
-        return pa.array([sorted(s) for s in out], pa.list_(pa.string()))
+        forget()
+        return spelled_forms(texts)
 
     counts = chosen.select("y", F.explode(F.arrow_udf(spelled, "array<string>")("text")).alias("word"))
     counts = counts.groupBy("word").agg(F.sum("y").alias("hot"), F.sum(1 - F.col("y")).alias("cold"))

@@ -1,10 +1,13 @@
 """A Python worker serves the tasks of many steps; it keeps the caches of one step only."""
 
 import gc
+import tracemalloc
 import weakref
 
+import pyarrow as pa
+
 from millrace.llm import bpe, toxicity
-from millrace.llm.common import kept_by_worker
+from millrace.llm.common import forget, kept_by_worker
 
 
 class Thing:
@@ -25,3 +28,22 @@ def test_a_matcher_makes_room_for_a_codec():
     kept_by_worker(("codec", "x"), lambda: bpe.Codec({bytes([b]): b for b in range(256)}, r"\S+"))
     gc.collect()
     assert gone() is None
+
+
+def test_what_is_kept_can_be_dropped_without_a_successor():
+    gone = weakref.ref(kept_by_worker("first", Thing))
+    forget()
+    gc.collect()
+    assert gone() is None
+
+
+def test_spellings_take_memory_by_slices_not_by_batches():
+    texts = [" ".join(f"w{i * k % 997}" for i in range(4000)) for k in range(1, 321)]
+    batch = pa.array([*texts, None, ""])
+    tracemalloc.start()
+    got = toxicity.spelled_forms(batch)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got.type == pa.list_(pa.string()) and len(got) == len(batch) and got[-2:].to_pylist() == [[], []]
+    assert got[0].as_py() == sorted({w for w in texts[0].split() if len(w) >= 3})
+    assert peak < 100 << 20
