@@ -32,24 +32,28 @@ def parse(text: str, known: set[str], start: int = 0) -> list[int]:
     ends = []
     add, append, n = known.add, ends.append, len(text)
     while start < n:
-        end = start + 4
-        if text[start:end] in known:
-            end += 1
-            while end <= n and text[start:end] in known:
+        phrase = text[start : start + 4]
+        if phrase in known:
+            end = start + 5
+            while end <= n:
+                phrase = text[start:end]
+                if phrase not in known:
+                    break
                 end += 1
-            if end > n:
+            else:
                 break
         else:
-            end -= 2
-            if text[start:end] in known:
-                end += 1
-                if text[start:end] in known:
-                    end += 1
-            elif text[start : end - 1] not in known:
-                end -= 1
-            if end > n:
-                end = n
-        add(text[start:end])
+            three = phrase[:3]
+            if three not in known:
+                two = three[:2]
+                if two in known:
+                    phrase = three
+                elif two[:1] in known:
+                    phrase = two
+                else:
+                    phrase = two[:1]
+            end = start + len(phrase)
+        add(phrase)
         append(end)
         start = end
     return ends
@@ -60,17 +64,34 @@ def hashes(text: str, ends: list[int], start: int = 0) -> np.ndarray:
     if not ends:
         return np.zeros(0, np.uint32)
     letters = np.frombuffer(text[start : ends[-1]].encode("utf-32-le", "surrogatepass"), "<u4")
-    begins = np.array([start, *ends[:-1]]) - start
-    lengths = np.diff(np.append(begins, ends[-1] - start))
+    after = np.array(ends) - start
+    begins = np.append(0, after[:-1])
+    lengths = after - begins
     offset = np.arange(len(letters)) - np.repeat(begins, lengths)
+    longest = int(lengths.max())
+    powers = _POWERS if longest <= len(_POWERS) else _powers(longest)
+    mixed = _LETTERS.take(letters) if letters.max() < len(_LETTERS) else _mixed(letters)
+    with np.errstate(over="ignore"):
+        return (W.mix(np.add.reduceat(mixed * powers.take(offset), begins)) >> np.uint64(32)).astype(np.uint32)
+
+
+def _powers(n: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        powers = np.cumprod(np.full(int(lengths.max()), np.uint64(0x9E3779B97F4A7C15)))
-        mixed = W.mix(letters.astype(np.uint64) + np.uint64(1))
-        return (W.mix(np.add.reduceat(mixed * powers[offset], begins)) >> np.uint64(32)).astype(np.uint32)
+        return np.cumprod(np.full(n, np.uint64(0x9E3779B97F4A7C15)))
+
+
+def _mixed(letters: np.ndarray) -> np.ndarray:
+    return W.mix(letters.astype(np.uint64) + np.uint64(1))
+
+
+_POWERS, _LETTERS = _powers(64), _mixed(np.arange(1 << 14))  # those that most texts need
 
 
 def least(found: np.ndarray) -> np.ndarray:
-    return np.unique(found)[:SIZE]
+    found = np.sort(found)
+    new = np.ones(len(found), bool)
+    np.not_equal(found[1:], found[:-1], out=new[1:])
+    return found[new][:SIZE]
 
 
 def written(signature: np.ndarray) -> str:
@@ -113,10 +134,8 @@ class Parsed:
         edited = self.text[:keep] + ending
         k = bisect_right(self.ends, keep)
         start = self.ends[k - 1] if k else 0
-        last = start
-        for end in self.ends[k:]:
-            self.known.discard(self.text[last:end])
-            last = end
+        text, rest = self.text, self.ends[k:]
+        self.known.difference_update([text[a:b] for a, b in zip([start, *rest], rest)])
         ends = parse(edited, self.known, start)
         return edited, least(np.concatenate([self.hashes[:k], hashes(edited, ends, start)]))
 

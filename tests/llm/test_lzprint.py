@@ -83,3 +83,17 @@ def test_query_over_whole_tables(spark):
             w[1], brute.sha(w[2]), *w[3:]
         )
     assert sum(r.near_edited > r.near_next for r in rows) > 0.9 * len(rows)
+
+
+class Counted(set):
+    asked = 0
+
+    def __contains__(self, item):
+        self.asked += 1
+        return super().__contains__(item)
+
+
+def test_phrases_of_four_letters_take_two_questions():
+    known = Counted({"a", "ab", "abc", "b", "bc", "bcd"})
+    assert lzprint.parse("abcdbcda" * 1, known) == [4, 8] and known.asked == 4
+    assert {"abcd", "bcda"} <= known
