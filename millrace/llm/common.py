@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import sys
 import uuid
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Hashable, Iterator
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -39,6 +40,18 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Jobs inside leave no shuffle files behind. For small results that come to the driver and are not asked for again."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def fresh(prefix: str) -> str:
     """A column name that clashes with no other."""
     return f"{prefix}_{uuid.uuid4().hex[:12]}"

@@ -96,8 +96,7 @@ def op7_lzprint(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op8_lm(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    return lm.score(docs, lm.fit(docs, table(spark, folder, "labels")), counted=True)
+    return lm.differences(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
 @query

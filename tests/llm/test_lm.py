@@ -96,3 +96,41 @@ def test_every_word_of_a_large_vocabulary_counts(spark):
     other = {r.doc_id: r for r in lm.score(new, models).collect()}
     assert other[1].difference == pytest.approx(rows[103].difference) and other[3].n_tokens == 2
     assert other[3].target_loss > 0 and other[3].background_loss > 0
+
+
+def test_differences_are_those_of_the_stored_models(spark, monkeypatch):
+    """Also with many buckets, hot words, small blocks, copies of whole rows, null ids and texts."""
+    rng = random.Random(2)
+    docs = [(i, " ".join(rng.choice(["the", "the", f"w{rng.randint(0, 99)}", "é"]) for _ in range(rng.randint(0, 80)))) for i in range(70)]
+    docs += [(70, None), (71, ""), (72, docs[0][1]), (None, "the w1"), (5, docs[5][1]), (6, "the end"), (73, "w7 " * 400)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(40)] + [(None, 1)], "doc_id long, quality int")
+    want = lm.score(df, lm.fit(df, labels), counted=True).collect()
+
+    def key(r):
+        return str(r.doc_id), r.n_tokens, r.difference is None, round(r.difference or 0, 5)
+
+    for bucket, texts in ((lm.BUCKET, lm.BLOCK_TEXTS), (40, 5)):
+        monkeypatch.setattr(lm, "BUCKET", bucket)
+        monkeypatch.setattr(lm, "BLOCK_TEXTS", texts)
+        known = lm.totals(lm._labelled(df, labels, "quality", "doc_id", "text"))
+        assert (known.buckets > 20, len(known.hot) > 3) == (bucket == 40, bucket == 40)
+        rows = lm.differences(df, labels)
+        assert rows.dtypes == lm.score(df, lm.fit(df, labels)).dtypes
+        rows = rows.collect()
+        assert len(rows) == len(docs)
+        for a, b in zip(sorted(rows, key=key), sorted(want, key=key)):
+            assert (a.doc_id, a.n_tokens) == (b.doc_id, b.n_tokens)
+            for x, y in zip(a[2:], b[2:]):
+                assert x is y is None or x == pytest.approx(y, abs=1e-6)
+    twice = lm.differences(df.union(df), labels)
+    assert twice.count() == 2 * len(docs)
+    assert lm.differences(df.where("false"), labels).collect() == []
+    assert lm.differences(df.where("doc_id = 70"), labels).first()[1:] == (0, None, None, None)
+
+
+def test_query_shuffles_little_more_than_the_texts_and_their_pairs(spark):
+    """The pairs pass once, packed: no join by pair or word."""
+    plan = queries.QUERIES["op8_lm"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+    plan = plan[plan.index("== Physical Plan") :]
+    assert plan.count("Join") == 1 and "Exchange hashpartitioning(bucket" in plan
