@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.llm import bpe, contamination, near, pii, toxicity
-from millrace.llm.common import content_key, fresh, stored, table
+from millrace.llm.common import content_key, fresh, prepare, stored, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -47,6 +47,8 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in place of the text, with the hash of what they decode to."""
+    # After four other stages the executors' heaps are grown; a small batch is held several times over (text, ids, bytes).
+    prepare(spark, 2 << 20)
     tokenizer = bpe.Tokenizer(spark, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     rows = docs.withColumn("ids", tokenizer.encode(F.col("text")))
     return rows.withColumns(

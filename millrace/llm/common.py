@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import uuid
 from collections.abc import Callable, Hashable, Iterator
 from contextlib import contextmanager
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import scratch_dir
@@ -18,9 +21,9 @@ T = TypeVar("T")
 BATCH_BYTES = 8 << 20
 
 
-def prepare(spark: SparkSession) -> SparkSession:
+def prepare(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> SparkSession:
     """Runtime settings that every plan of this subpackage is written for."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     return spark
@@ -71,11 +74,26 @@ def kept_by_worker(name: Hashable, build: Callable[[], T]) -> T:
     """
     slot = sys.__dict__.setdefault("_millrace_kept", {})
     if name not in slot:
-        slot.clear()
+        forget()
         slot[name] = build()
     return slot[name]
 
 
 def forget() -> None:
-    """Drop what a Python worker keeps of an earlier step; for steps that need room and keep nothing themselves."""
-    sys.__dict__.get("_millrace_kept", {}).clear()
+    """Drop what a Python worker keeps of an earlier step; for steps that need room and keep nothing themselves.
+
+    Freed memory is given back to the system: a worker lives on, and the JVM beside it may need the room.
+    """
+    slot = sys.__dict__.setdefault("_millrace_kept", {})
+    if slot:
+        slot.clear()
+        gc.collect()
+        give_back()
+
+
+def give_back() -> None:
+    """Unused memory of Arrow and of the C library goes back to the system, where the library can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from . import words as W
-from .common import stored
+from .common import forget, stored
 
 BLOCK_WORDS = 200_000
 
@@ -37,6 +37,7 @@ def build_index(
     """The stored index: one row per segment with `doc_ids`, `bounds`, `terms`, `offsets`, `postings`."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)

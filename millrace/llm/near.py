@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import words as W
-from .common import content_key, fresh, prepare, stored
+from .common import content_key, forget, fresh, prepare, stored
 from .components import components
 
 SKETCHES, PICKS, PIVOTS, CELLS = 24, 4, 4, 1024
@@ -152,6 +152,7 @@ def _sketched(rows: DataFrame, size: int, sketches: int, picks: int) -> DataFram
     """Per row its node, number of shingles, Order MinHash values and histogram parities."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         orders = np.stack([W.seeds(sketches, 11), W.seeds(sketches, 12) | np.uint64(1)], axis=1)
         for batch in batches:
             for begin, end in W.slices(batch.column(0)):

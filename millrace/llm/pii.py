@@ -21,6 +21,8 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
+from .common import forget
+
 KINDS = ["email", "ip", "card", "phone"]
 MORE = ["iban", "local_phone"]
 
@@ -195,11 +197,16 @@ def spans(text: Column, keep_from: float = 0.5) -> Column:
     return F.arrow_udf(run, "array<struct<kind:string,begin:int,end:int,base:boolean,score:double>>")(text)
 
 
+def redacted_texts(texts: pa.Array, keep_from: float = 0.5) -> pa.Array:
+    forget()
+    plain = (t.as_py() for t in texts)
+    return pa.array([t and redact(t, find(t, keep_from)) for t in plain], pa.string())
+
+
 def redacted(text: Column, keep_from: float = 0.5) -> Column:
     """The text without its spans; null stays null."""
 
     def run(texts: pa.Array) -> pa.Array:
-        plain = (t.as_py() for t in texts)
-        return pa.array([t and redact(t, find(t, keep_from)) for t in plain], pa.string())
+        return redacted_texts(texts, keep_from)
 
     return F.arrow_udf(run, "string")(text)

@@ -4,9 +4,10 @@ import gc
 import tracemalloc
 import weakref
 
+import numpy as np
 import pyarrow as pa
 
-from millrace.llm import bpe, toxicity
+from millrace.llm import bpe, pii, toxicity
 from millrace.llm.common import forget, kept_by_worker
 
 
@@ -47,3 +48,32 @@ def test_spellings_take_memory_by_slices_not_by_batches():
     assert got.type == pa.list_(pa.string()) and len(got) == len(batch) and got[-2:].to_pylist() == [[], []]
     assert got[0].as_py() == sorted({w for w in texts[0].split() if len(w) >= 3})
     assert peak < 100 << 20
+
+
+def _resident() -> int:
+    with open("/proc/self/statm") as file:
+        return int(file.read().split()[1]) * 4096
+
+
+def test_memory_of_what_is_dropped_goes_back_to_the_system():
+    """Also where something that stays lies between the dropped parts."""
+
+    class Parts:
+        def __init__(self):
+            self.parts, self.stay = [], []
+            for _ in range(4000):
+                self.parts.append(np.ones(50_000, np.uint8))
+                self.stay.append(np.ones(2_000, np.uint8))
+
+    forget()
+    stay = kept_by_worker("parts", Parts).stay
+    before = _resident()
+    forget()
+    assert len(stay) == 4000 and before - _resident() > 120 << 20
+
+
+def test_steps_without_caches_drop_those_of_the_step_before():
+    gone = weakref.ref(kept_by_worker("first", Thing))
+    pii.redacted_texts(pa.array(["mail a@b.cc", None, ""]))
+    gc.collect()
+    assert gone() is None
