@@ -74,7 +74,9 @@ def kept_by_worker(name: Hashable, build: Callable[[], T]) -> T:
     """
     slot = sys.__dict__.setdefault("_millrace_kept", {})
     if name not in slot:
-        forget()
+        slot.clear()
+        gc.collect()
+        give_back()  # also what steps without caches left
         slot[name] = build()
     return slot[name]
 
