@@ -34,6 +34,22 @@ LINE_VERSION = [
     "l_linestatus",
 ]
 
+# What the order, SKU and customer aggregates read of facts that more than one of them needs.
+MEASURES = {
+    "fact_order_lines": [
+        "order_id",
+        "sku",
+        "customer_id",
+        "order_date",
+        "line_revenue_pln",
+        "qty_shipped",
+        "qty_ordered",
+        "qty_backordered",
+        "is_express_escalated",
+    ],
+    "fact_returns": ["customer_id", "sku", "qty_returned"],
+}
+
 
 class Model:
     """All canonical tables over one data folder."""
@@ -204,7 +220,6 @@ class Model:
     def _raw_reports(self) -> DataFrame:
         """Status reports of loads; a load is what one supplier ships for one order."""
         return self.table("lineitem").selectExpr(
-            "concat('LOAD-', l_orderkey, '-', l_suppkey) AS load_id",
             "cast(l_shipdate AS date) AS load_date",
             *("l_orderkey", "l_suppkey", "l_linenumber", "l_partkey", "l_quantity", "l_linestatus"),
         )
@@ -212,7 +227,7 @@ class Model:
     @staticmethod
     def _report(raw: DataFrame) -> DataFrame:
         return raw.selectExpr(
-            "load_id",
+            "concat('LOAD-', l_orderkey, '-', l_suppkey) AS load_id",
             "CASE l_linenumber % 3 WHEN 0 THEN '08' WHEN 1 THEN '14' ELSE '20' END AS sync_window",
             "load_date",
             "concat('CARR-', l_suppkey % 7) AS carrier_code",
@@ -239,23 +254,41 @@ class Model:
     @cached_property
     def loads(self) -> DataFrame:
         """The report that counts is found on the bare columns; ids, arrays and texts are made of it afterwards."""
-        window = F.expr("CASE l_linenumber % 3 WHEN 0 THEN '08' WHEN 1 THEN '14' ELSE '20' END")
+        window = F.expr("CASE l_linenumber % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE 2 END")  # in the order of the windows' names
         order = [F.col(c) for c in self.LOAD_ORDER]
-        return self._report(upsert_guarded(None, self._raw_reports(), ["load_id"], [window], order)).drop("l_linenumber", "l_partkey", "l_quantity", "l_linestatus")
+        newest = upsert_guarded(None, self._raw_reports(), ["l_suppkey", "l_orderkey"], [window], order)
+        return self._report(newest).drop("l_linenumber", "l_partkey", "l_quantity", "l_linestatus")
 
-    @cached_property
-    def return_events(self) -> DataFrame:
-        lines = self.table("lineitem").where("l_returnflag = 'R'")
+    def _raw_returns(self) -> DataFrame:
+        lines = self.table("lineitem").where("l_returnflag = 'R'").selectExpr(
+            "cast(l_shipdate AS date) AS event_date",
+            *("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_linestatus"),
+        )
         buyers = self.table("orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-        rows = lines.join(buyers, "l_orderkey")
-        return rows.selectExpr(
+        return lines.join(buyers, "l_orderkey")
+
+    @cached_property
+    def returns(self) -> DataFrame:
+        """The newest report of an event is found on the bare columns that its id consists of; the texts are made afterwards."""
+        keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+        order = [F.col("event_date"), F.col("l_quantity").cast("int")]
+        newest = upsert_latest(None, self._raw_returns().drop("l_linestatus"), keys, order)
+        return newest.selectExpr(
             "concat('RET-', l_orderkey, '-', l_linenumber, '-', l_partkey, '-', l_suppkey) AS event_id",
-            "cast(l_shipdate AS date) AS event_date",
+            "event_date",
             "concat('RMA-', l_orderkey) AS rma_id",
             "CASE WHEN l_linenumber % 2 = 1 THEN 'return_requested' ELSE 'return_received' END AS event_subtype",
             "concat('ORD-', l_orderkey) AS order_id",
             "concat('CUST-', o_custkey) AS customer_id",
             "CASE WHEN l_suppkey % 11 <> 0 THEN concat('CARR-', l_suppkey % 7) END AS carrier_code",
+        )
+
+    @cached_property
+    def return_lines(self) -> DataFrame:
+        order = ["event_date", "cast(l_partkey AS string)", "cast(l_quantity AS int)", "l_linestatus"]
+        newest = upsert_latest(None, self._raw_returns().drop("l_suppkey", "o_custkey"), ["l_orderkey", "l_linenumber"], [F.expr(c) for c in order])
+        return newest.selectExpr(
+            "concat('RMA-', l_orderkey) AS rma_id",
             "cast(l_linenumber AS string) AS line_id",
             "concat('SKU-', l_partkey) AS sku",
             "cast(l_quantity AS int) AS quantity_returned",
@@ -264,18 +297,6 @@ class Model:
             "cast(NULL AS string) AS resolution",
         )
 
-    @cached_property
-    def returns(self) -> DataFrame:
-        order = [F.col("event_date"), F.col("quantity_returned")]
-        heads = ["event_id", "event_date", "rma_id", "event_subtype", "order_id", "customer_id", "carrier_code"]
-        return upsert_latest(None, self.return_events, ["event_id"], order).select(*heads)
-
-    @cached_property
-    def return_lines(self) -> DataFrame:
-        order = [F.col(c) for c in ("event_date", "sku", "quantity_returned", "return_reason")]
-        lines = ["rma_id", "line_id", "sku", "quantity_returned", "quantity_accepted", "return_reason", "resolution"]
-        return upsert_latest(None, self.return_events, ["rma_id", "line_id"], order).select(*lines)
-
     @cached_property
     def snapshots(self) -> DataFrame:
         keyed = self.table("lineitem").selectExpr(
@@ -411,6 +432,14 @@ class Model:
                 self._kept.add(name)
                 self.__dict__[name] = stored(getattr(self, name), name)
 
+    def keep_measures(self) -> None:
+        """Write down once what the aggregates read of the facts, for queries that build several of them."""
+        self._keep("dim_customer", "dim_sku", "rates")
+        for name, columns in MEASURES.items():
+            if name not in self._kept:
+                self._kept.add(name)
+                self.__dict__[name] = stored(getattr(self, name).select(*columns), name)
+
     # --- gold --------------------------------------------------------------------------------
 
     @cached_property

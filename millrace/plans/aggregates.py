@@ -27,15 +27,38 @@ def _zero_money(name: str) -> Column:
 
 
 def order_metrics_daily(order_lines: DataFrame) -> DataFrame:
-    dated = order_lines.where(F.col("order_date").isNotNull())
-    sums = dated.groupBy(F.col("order_date").alias("agg_date")).agg(
-        F.countDistinct("order_id").alias("orders_placed"),
-        _count("lines_placed"),
-        F.sum("line_revenue_pln").alias("revenue_pln"),
+    # Each line counts twice: once for its sums, which each task adds up per day, and once for its order id alone. So the
+    # orders of a day, which must be gathered to be told apart, are not gathered with sums.
+    dated = order_lines.where(F.col("order_date").isNotNull()).select(
+        F.col("order_date").alias("agg_date"),
+        "order_id",
+        F.lit(1).alias("line"),
+        *("line_revenue_pln", "qty_shipped", "qty_ordered", "qty_backordered"),
+        F.when(F.col("is_express_escalated"), 1).alias("escalated"),
+        F.explode(F.array(F.lit(True), F.lit(False))).alias("__sums"),
+    )
+    parts = dated.select(
+        "agg_date",
+        F.when(~F.col("__sums"), F.col("order_id")).alias("order_id"),
+        *[F.when(F.col("__sums"), F.col(name)).alias(name) for name in dated.columns[2:-1]],
+    )
+    orders = parts.groupBy("agg_date", "order_id").agg(
+        F.count("line").alias("line"),
+        F.sum("line_revenue_pln").alias("line_revenue_pln"),
+        F.sum("qty_shipped").alias("qty_shipped"),
+        F.sum("qty_ordered").alias("qty_ordered"),
+        F.sum("qty_backordered").alias("qty_backordered"),
+        F.count("escalated").alias("escalated"),
+    )
+    money = "decimal(25,4)"
+    sums = orders.groupBy("agg_date").agg(
+        F.count("order_id").alias("orders_placed"),
+        F.sum("line").alias("lines_placed"),
+        F.sum("line_revenue_pln").cast(money).alias("revenue_pln"),
         F.sum("qty_shipped").alias("qty_shipped_total"),
         F.sum("qty_ordered").alias("qty_ordered_total"),
         F.sum("qty_backordered").alias("qty_backordered_total"),
-        F.count_if("is_express_escalated").alias("is_express_escalated_count"),
+        F.sum("escalated").alias("is_express_escalated_count"),
     )
     return sums.withColumns(
         {
@@ -62,14 +85,13 @@ def customer_scorecard(
     credit_events: DataFrame,
 ) -> DataFrame:
     """One row per current customer. `return_rate` is return lines per shipped unit."""
-    lines = order_lines.select(
-        "customer_id",
-        "order_id",
-        F.lit(1).alias("line"),
-        "line_revenue_pln",
-        "qty_shipped",
-        "qty_ordered",
-        "qty_backordered",
+    # Orders are told apart first, among lines only; what follows is sums.
+    lines = order_lines.groupBy("customer_id", "order_id").agg(
+        F.sum("line_revenue_pln").alias("line_revenue_pln"),
+        _count("lines"),
+        F.sum("qty_shipped").alias("qty_shipped"),
+        F.sum("qty_ordered").alias("qty_ordered"),
+        F.sum("qty_backordered").alias("qty_backordered"),
     )
     returned = returns.select("customer_id", F.lit(1).alias("return_line"))
     paid = payments.select(
@@ -86,9 +108,9 @@ def customer_scorecard(
         "utilisation_pct",
     )
     sums = _tagged(lines, returned, paid, credit).groupBy("customer_id").agg(
-        F.sum("line_revenue_pln").alias("revenue_pln_total"),
-        F.countDistinct("order_id").alias("orders_count"),
-        F.count("line").alias("lines_count"),
+        F.sum("line_revenue_pln").cast("decimal(25,4)").alias("revenue_pln_total"),
+        F.count("order_id").alias("orders_count"),
+        F.coalesce(F.sum("lines"), F.lit(0)).alias("lines_count"),
         F.sum("qty_shipped").alias("__shipped"),
         F.sum("qty_ordered").alias("__ordered"),
         F.sum("qty_backordered").alias("__backordered"),

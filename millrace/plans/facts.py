@@ -162,7 +162,7 @@ def fact_order_lines(
         lines = lines.withColumn("__escalated", F.lit(None).cast("boolean"))
     else:
         lines = lines.join(escalated_lines(backorders), ["order_id", "line_id"], "left")
-    rows = _sku(lines.join(heads, "order_id"), dim_sku, "__day", h, sku_also)
+    rows = lines.join(heads, "order_id")
 
     price = F.when(F.col("currency") == "PLN", F.col("unit_price").cast("decimal(30,10)")).otherwise(
         F.col("unit_price") * F.col("fx_rate")
@@ -184,12 +184,13 @@ def fact_order_lines(
         F.col("__ship"), F.col("__shipped").cast("decimal(10,0)") * F.col("unit_price_pln")
     ).otherwise((F.col("quantity_shipped").cast("decimal(8,0)") * F.col("__price")))
     is_ship = F.col("__ship")
-    return _with_lineage(
+    # Measures are made before the lines are dealt out by SKU: what they are made of (rate, currency, status, quantities) stays
+    # behind where the reader does not ask for it.
+    rows = _with_lineage(
         rows,
         [
-            h.date_id(F.col("__day")).alias("dim_date_id"),
-            _customer_key(),
-            _sku_key(),
+            "__day",
+            "__customer_from",
             "order_id",
             "line_id",
             "sku",
@@ -212,9 +213,13 @@ def fact_order_lines(
             F.coalesce("__escalated", F.lit(False)).alias("is_express_escalated"),
             "fx_defaulted",
             *customer_also,
-            *sku_also,
         ],
     )
+    rest = rows.columns[rows.columns.index("order_id") :]
+    return _with_lineage(
+        _sku(rows, dim_sku, "__day", h, sku_also),
+        [h.date_id(F.col("__day")).alias("dim_date_id"), _customer_key(), _sku_key(), *rest, *sku_also],
+    )
 
 
 def fact_inventory_daily(

@@ -82,3 +82,31 @@ def test_staging_is_counted_without_ordering_rows(spark):
     """A window per staging table would sort all its rows; the sorts that are left belong to the two joins of lines and orders."""
     plan = plan_of(spark, "staging_counts")
     assert "Window" not in plan and plan.count("Sort [") <= 4
+
+
+def test_lines_are_dealt_out_by_sku_with_measures_only(spark):
+    """What prices and shipped quantities are made of stays behind when lines go to their SKU's versions."""
+    lines = plan_of(spark, "agg_sku_performance").splitlines()
+    shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(__bucket" in line]
+    dealt = [lines[i + 1] for i in shuffles if "quantity_ordered" in lines[i + 1]]
+    assert dealt and all("AS line_revenue_pln" in line and "currency#" not in line for line in dealt)
+
+
+@pytest.mark.parametrize("name", ["fact_order_lines", "fact_returns"])
+def test_ids_are_made_after_the_newest_report_is_found(spark, name):
+    assert not re.search(r"hashpartitioning\((load_id|event_id)#", plan_of(spark, name))
+
+
+def test_orders_of_a_day_are_told_apart_without_their_sums(spark):
+    plan = plan_of(spark, "agg_order_metrics_daily")
+    assert "hashpartitioning(agg_date" in plan and "count(distinct" not in plan
+
+
+def test_orders_of_a_customer_are_told_apart_among_lines_only(spark):
+    assert "count(distinct" not in plan_of(spark, "agg_customer_scorecard")
+
+
+def test_aggregates_are_reported_from_facts_that_are_built_once(spark):
+    """The report reads written measures: no table of lines is scanned for orders again."""
+    plan = plan_of(spark, "dq_aggregate_report")
+    assert "o_orderstatus" not in plan and "l_returnflag" not in plan
