@@ -69,9 +69,9 @@ class Typed:
     def __call__(self) -> Column:
         return self.read(F.col(self.source), self.name)
 
-    def bad(self) -> Column:
-        """The text of the field is looked at only where the typed value is NULL."""
-        value = (self.probe or self.read)(F.col(self.source), self.name)
+    def bad(self, column: str) -> Column:
+        """The text of the field is looked at only where the typed value, which `column` holds, is NULL."""
+        value = self.probe(F.col(self.source), self.name) if self.probe else F.col(column)
         return F.when(value.isNull(), p.given(F.col(self.source), self.name))
 
 
@@ -536,9 +536,11 @@ SPECS: dict[str, Spec] = {
 }
 
 
-def stage(raw: DataFrame, table: str, watch: Observation | None = None) -> DataFrame:
+def stage(raw: DataFrame, table: str, watch: Observation | None = None, only: Sequence[str] | None = None) -> DataFrame:
     """Typed rows of one staging table, good and bad, in one pass over its events.
 
+    `only` names the columns to be read beside those of the keys, where not all of them are wanted.
+
     `watch` counts the documents that are dropped without a reject, as `skipped`, in that same pass.
 
     A value of the wrong type becomes NULL and is named in `_bad_values` as `bad_<column>`; in a key it rejects the row.
@@ -546,9 +548,11 @@ def stage(raw: DataFrame, table: str, watch: Observation | None = None) -> DataF
     rows whose natural key may be NULL.
 
     The parse sits inside a generator on purpose: filters on parsed fields would otherwise be
-    pushed below the projection, each with a parse of its own.
+    pushed below the projection, each with a parse of its own. So do the columns: reasons and flags look at what was read
+    instead of reading it again.
     """
     spec = SPECS[table]
+    wanted = [name for name in spec.columns if only is None or name in (*only, *spec.keys, *spec.required)]
     events = raw.where(F.col("event_type").isin(list(spec.event_types))).select(
         *LINEAGE, "event_type", "payload", F.explode(F.array(p.parsed(F.col("payload")))).alias(DOC)
     )
@@ -559,13 +563,16 @@ def stage(raw: DataFrame, table: str, watch: Observation | None = None) -> DataF
     for source, name, alias in spec.unnest:
         events = events.withColumn(alias, F.explode(p.elements(F.col(source), name)))
     raised = [(rule(), flag if isinstance(flag, str) else flag()) for rule, flag in spec.flags]
-    built = {name: build() for name, build in spec.columns.items()}
-    typed = {name: build for name, build in spec.columns.items() if isinstance(build, Typed)}
-    bad = [(build.bad(), f"bad_{name}") for name, build in typed.items()]
+    built = F.struct(*[spec.columns[name]().alias(name) for name in wanted])
+    sources = [DOC, *[alias for _, _, alias in spec.unnest]]
+    events = events.select(*LINEAGE, "event_type", "payload", *sources, F.explode(F.array(built)).alias("__read"))
+    events = events.select(*LINEAGE, "event_type", "payload", *sources, "__read.*")
+    typed = {name: spec.columns[name] for name in wanted if isinstance(spec.columns[name], Typed)}
+    bad = [(build.bad(name), f"bad_{name}") for name, build in typed.items()]
     rules = [(rule(), why) for rule, why in spec.rejects]
     # A key that cannot be read is no NULL key.
-    rules += [(typed[name].bad(), f"bad {name}") for name in spec.keys if name in typed]
-    rules += [(built[name].isNull(), f"null {name}") for name in spec.required]
+    rules += [(typed[name].bad(name), f"bad {name}") for name in spec.keys if name in typed]
+    rules += [(F.col(name).isNull(), f"null {name}") for name in spec.required]
     reason = reject_reason(*rules)
     payload = F.col("payload")
     if not spec.nullable_key:
@@ -577,7 +584,7 @@ def stage(raw: DataFrame, table: str, watch: Observation | None = None) -> DataF
         reason.alias("_reason"),
         flags(*raised).alias("_dq_flags"),
         flags(*bad).alias(BAD),
-        *[column.alias(name) for name, column in built.items()],
+        *wanted,
     )
 
 
@@ -617,7 +624,7 @@ def load(raw: DataFrame, table: str) -> DataFrame:
 def loaded_keys(raw: DataFrame, table: str) -> DataFrame:
     """The keys of the staging table that results from all given events, one row for each of its rows."""
     spec = SPECS[table]
-    return upserted_keys(accepted(stage(raw, table), table), spec.keys, _identity(spec))
+    return upserted_keys(accepted(stage(raw, table, only=()), table), spec.keys, _identity(spec))
 
 
 def distinct_rejects(found: Sequence[DataFrame]) -> DataFrame:

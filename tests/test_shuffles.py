@@ -110,3 +110,10 @@ def test_aggregates_are_reported_from_facts_that_are_built_once(spark):
     """The report reads written measures: no table of lines is scanned for orders again."""
     plan = plan_of(spark, "dq_aggregate_report")
     assert "o_orderstatus" not in plan and "l_returnflag" not in plan
+
+
+def test_staging_reads_a_field_once(spark):
+    """Reasons and flags look at the columns that were read: the id of a line is not read again to be found missing."""
+    spark.conf.set("spark.sql.maxPlanStringLength", "1000000")
+    plan = plan_of(spark, "silver_order_lines")
+    assert plan.count("$.line_id,") == 1
