@@ -7,6 +7,7 @@ import pytest
 
 from millrace.catalogue.adapters import Model
 from millrace.catalogue.queries import QUERIES
+from millrace.functions.scalars import packed, unpacked
 from millrace.operators import upsert_guarded
 from millrace.plans import exports
 from millrace.session import tune
@@ -117,3 +118,40 @@ def test_staging_reads_a_field_once(spark):
     spark.conf.set("spark.sql.maxPlanStringLength", "1000000")
     plan = plan_of(spark, "silver_order_lines")
     assert plan.count("$.line_id,") == 1
+
+
+@pytest.mark.parametrize("name, most", [("spark.sql.files.maxPartitionBytes", 8 << 20), ("spark.sql.adaptive.advisoryPartitionSizeInBytes", 32 << 20)])
+def test_rows_are_sorted_in_small_pieces_and_a_smaller_size_is_kept(spark, name, most):
+    """Rows of a piece are sorted before they are shuffled, and after: a large piece spills more than it sends."""
+    before = spark.conf.get(name)
+    try:
+        for asked, got in (("128m", most), ("134217728b", most), ("4m", 4 << 20), ("1048576", 1 << 20)):
+            spark.conf.set(name, asked)
+            tune(spark)
+            kept = spark.conf.get(name)
+            assert spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(kept) == got
+    finally:
+        spark.conf.set(name, before)
+        tune(spark)
+
+
+def test_lines_carry_texts_that_pass_through_as_one(spark):
+    """Between the orders and the SKU's versions the texts that nothing looks at are one column."""
+    spark.conf.set("spark.sql.maxToStringFields", "1000")
+    try:
+        lines = plan_of(spark, "export_orders_flat").splitlines()
+    finally:
+        spark.conf.unset("spark.sql.maxToStringFields")
+    shuffles = [i for i, line in enumerate(lines) if re.search(r"Exchange hashpartitioning\((__bucket#\d+, sku|order_id)#", line)]
+    dealt = [lines[i + 1] for i in shuffles if "__texts" in lines[i + 1]]
+    assert len(dealt) == 2  # orders by id, lines by SKU
+    names = ("company_name", "segment", "country_code", "region", "sales_channel", "incoterms")
+    assert not any(re.search(rf"[\[ ]{name}#\d+[,\]]", line) for line in dealt for name in names)
+
+
+def test_packed_texts_come_back_as_they_were(spark):
+    values = [None, "", "a", "\u0001", "\u0002", "\u0002n", "\u0002s", "\u0002es\u0001\u0001", "\u00e9\u0001\u65e5", " ", "x\ny"]
+    rows = [(i, a, b, c) for i, (a, b, c) in enumerate((a, b, c) for a in values for b in values for c in values)]
+    df = spark.createDataFrame(rows, "i int, a string, b string, c string").select("i", packed(["a", "b", "c"]).alias("p"))
+    got = df.select("i", *[part.alias(name) for name, part in unpacked(F.col("p"), ["a", "b", "c"]).items()])
+    assert sorted(tuple(r) for r in got.collect()) == rows
