@@ -102,3 +102,32 @@ def test_hot_key_is_split_where_the_side_is_too_big_to_broadcast(spark):
     finally:
         for name, value in before.items():
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def test_hot_key_is_split_among_many_parts(spark):
+    """Shuffles start with 480 parts, which leaves the hot key alone in its part; rows that do not compress away are divided there too."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "480",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        facts = spark.range(0, 60_000, 1, 8).selectExpr(
+            "md5(string(id)) AS v", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('k', id % 1000) END AS k", "date'2026-03-01' AS d"
+        )
+        sides = spark.range(1000).selectExpr(
+            "CASE WHEN id = 0 THEN 'hot' ELSE concat('k', id) END AS k", "date'2026-01-01' AS effective_from", "cast(NULL AS date) AS effective_to"
+        )
+        out = interval_join(facts, sides, [("k", "k")], "d", {"since": "effective_from"}, Buckets(BASE, date(2027, 12, 31)))
+        out = out.groupBy("k").agg(F.count("since").alias("n"), F.max("v").alias("v"))
+        assert {r.k: r.n for r in out.collect()}["hot"] == 20_000
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
